@@ -9,7 +9,7 @@ from murmur.plans.registry import query
 
 
 @query("flat_hashtag_array", "posts", """
-SELECT post_id, user_id, unnest(hashtags) AS hashtag, epoch_ms(ts) // 1000 AS ts_s
+SELECT post_id, user_id, unnest(hashtags) AS hashtag, epoch_us(ts) // 1000000 AS ts_s
 FROM posts WHERE len(hashtags) > 0""")
 def _(t):
     return trending.hashtag_rows(t.posts).select(
@@ -18,7 +18,7 @@ def _(t):
 
 TRENDS_SQL = """
 SELECT hashtag, count(*) AS mention_count, count(DISTINCT user_id) AS unique_users,
-  epoch_ms(arg_max(ts, post_id)) // 1000 AS latest_s
+  epoch_us(arg_max(ts, post_id)) // 1000000 AS latest_s
 FROM (SELECT post_id, user_id, ts, unnest(hashtags) AS hashtag FROM posts) GROUP BY hashtag"""
 
 

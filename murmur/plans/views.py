@@ -133,9 +133,9 @@ def edges_of(t: Tables) -> DataFrame:
     c = t.customer.select("c_custkey", "c_nationkey")
     placed = scans.row_numbers(c, ["c_nationkey"], ["c_custkey"],
                                scans.by_offset("c_custkey"), "place")
-    step = F.explode(F.array(F.lit(1), F.lit(2), F.lit(3)))
+    ahead = F.array(*[F.col("place") + step for step in (1, 2, 3)])
     left = placed.select(F.col("c_custkey").alias("user_id"), "c_nationkey",
-                         (F.col("place") + step).alias("place"))
+                         F.explode(ahead).alias("place"))
     right = placed.select(F.col("c_custkey").alias("friend_id"), "c_nationkey", "place")
     return left.join(right, ["c_nationkey", "place"]).select("user_id", "friend_id")
 
