@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from murmur.functions.ranking import top
+from murmur import fixed_values as fv
+from murmur.functions.columns import count_if
+from murmur.functions.ranking import ranked_top, top
 
 
 def hashtag_rows(posts: DataFrame) -> DataFrame:
@@ -30,3 +32,60 @@ def hashtag_trends(tags: DataFrame) -> DataFrame:
 
 def trending_top(trends: DataFrame, n: int = 10) -> DataFrame:
     return top(trends, [F.desc("mention_count"), F.asc("hashtag")], n)
+
+
+def trending_scores(windows: DataFrame, as_of_s: float, size_s: int = 1800) -> DataFrame:
+    """Score of every hopping window with enough mentions.
+
+    Velocity compares with the previous scored window of the same hashtag. The window
+    function sees one row per (hashtag, window), not the events.
+    """
+    w = fv.TREND_WEIGHTS
+    scored = windows.filter(F.col("mention_count") >= fv.TREND_MIN_MENTIONS)
+    before = F.lag("mention_count", 1, 0).over(
+        Window.partitionBy("tag").orderBy("window_start"))
+    scored = scored.withColumn("velocity", F.col("mention_count") - before)
+    rise = F.when(F.col("velocity") <= 0, F.lit(0.0)).otherwise(
+        F.log1p(F.col("velocity")) / F.lit(10.0))
+    average = F.col("total_engagement") / F.greatest(F.col("mention_count"), F.lit(1))
+    engagement = F.least(average / F.lit(100.0), F.lit(1.0))
+    hours = (F.lit(float(as_of_s)) - (F.col("window_start") + size_s)) / F.lit(3600.0)
+    recency = F.exp(-hours * F.lit(1 - fv.TREND_DECAY_RATE))
+    return scored.withColumn("score", rise * w["velocity"] + engagement * w["engagement"]
+                             + recency * w["recency"])
+
+
+def trending_rank(scores: DataFrame, n: int = fv.TREND_TOP_K) -> DataFrame:
+    return ranked_top(scores, [F.desc("score"), F.asc("tag"), F.asc("window_start")], n)
+
+
+def worker_trends(tags: DataFrame, as_of_s: float, n: int = 10) -> DataFrame:
+    """Hashtags of the last five minutes by velocity times audience.
+
+    ``count`` and the users are all-time, the velocity counts the window only.
+    """
+    start = as_of_s - fv.WORKER_WINDOW_SECONDS
+    recent = (F.col("ts") >= F.timestamp_seconds(F.lit(start))) & (
+        F.col("ts") <= F.timestamp_seconds(F.lit(as_of_s)))
+    by_user = tags.groupBy("tag", "user_id").agg(
+        F.count(F.lit(1)).alias("n"), count_if(recent).alias("recent"))
+    sums = by_user.groupBy("tag").agg(
+        F.sum("n").alias("count"), F.sum("recent").alias("recent"),
+        F.count("user_id").alias("unique_users"))
+    rate = F.col("recent") / F.lit(fv.WORKER_WINDOW_SECONDS) * F.lit(60)
+    out = (sums.filter(F.col("recent") >= fv.WORKER_MIN_MENTIONS)
+           .withColumn("velocity", rate)
+           .withColumn("trend_score",
+                       F.col("velocity") * (F.lit(1) + F.col("unique_users") * F.lit(0.1))))
+    return top(out.drop("recent"), [F.desc("trend_score"), F.asc("tag")], n)
+
+
+def leaderboard(table: DataFrame, n: int = 50) -> DataFrame:
+    return top(table, [F.desc("trend_score"), F.desc("count"), F.asc("hashtag")], n)
+
+
+def leaderboard_stats(table: DataFrame) -> DataFrame:
+    return table.agg(
+        F.count(F.lit(1)).alias("total_hashtags"), F.sum("count").alias("total_mentions"),
+        F.avg("count").alias("avg_mentions"), F.max("count").alias("max_mentions"),
+        F.min("last_updated").alias("oldest_update"), F.max("last_updated").alias("latest_update"))
