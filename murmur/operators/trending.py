@@ -59,12 +59,13 @@ def trending_rank(scores: DataFrame, n: int = fv.TREND_TOP_K) -> DataFrame:
     return ranked_top(scores, [F.desc("score"), F.asc("tag"), F.asc("window_start")], n)
 
 
-def worker_trends(tags: DataFrame, as_of_s: float, n: int = 10) -> DataFrame:
-    """Hashtags of the last five minutes by velocity times audience.
+def worker_trends(tags: DataFrame, as_of_s: float, n: int = 10,
+                  seconds: int = fv.WORKER_WINDOW_SECONDS) -> DataFrame:
+    """Hashtags of the last minutes by velocity times audience.
 
     ``count`` and the users are all-time, the velocity counts the window only.
     """
-    start = as_of_s - fv.WORKER_WINDOW_SECONDS
+    start = as_of_s - seconds
     recent = (F.col("ts") >= F.timestamp_seconds(F.lit(start))) & (
         F.col("ts") <= F.timestamp_seconds(F.lit(as_of_s)))
     by_user = tags.groupBy("tag", "user_id").agg(
@@ -72,7 +73,7 @@ def worker_trends(tags: DataFrame, as_of_s: float, n: int = 10) -> DataFrame:
     sums = by_user.groupBy("tag").agg(
         F.sum("n").alias("count"), F.sum("recent").alias("recent"),
         F.count("user_id").alias("unique_users"))
-    rate = F.col("recent") / F.lit(fv.WORKER_WINDOW_SECONDS) * F.lit(60)
+    rate = F.col("recent") / F.lit(seconds) * F.lit(60)
     out = (sums.filter(F.col("recent") >= fv.WORKER_MIN_MENTIONS)
            .withColumn("velocity", rate)
            .withColumn("trend_score",

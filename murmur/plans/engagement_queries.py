@@ -167,14 +167,15 @@ def _(t):
 WITH x AS (SELECT user_id, {SEC} AS s, ts,
     unnest(regexp_extract_all(lower(content), '#([\p{{L}}\p{{N}}_]+)', 1)) AS tag FROM posts),
 a AS (SELECT tag, count(*) AS count, count(DISTINCT user_id) AS unique_users,
-    count(*) FILTER (epoch_us(ts) BETWEEN ({AS_OF_S} - 86400 - 300) * 1000000
-      AND ({AS_OF_S} - 86400) * 1000000) AS recent FROM x GROUP BY tag)
-SELECT tag, count, unique_users, round(recent / 300.0::DOUBLE * 60, 6) AS velocity,
-  round(recent / 300.0::DOUBLE * 60 * (1 + unique_users * 0.1::DOUBLE), 6) AS trend_score
-FROM a WHERE recent >= 3 ORDER BY recent / 300.0::DOUBLE * 60 * (1 + unique_users * 0.1::DOUBLE) DESC, tag
+    count(*) FILTER (epoch_us(ts) BETWEEN ({AS_OF_S} - 2 * 86400)::BIGINT * 1000000
+      AND ({AS_OF_S} - 86400)::BIGINT * 1000000) AS recent FROM x GROUP BY tag)
+SELECT tag, count, unique_users, round(recent / 86400.0::DOUBLE * 60, 6) AS velocity,
+  round(recent / 86400.0::DOUBLE * 60 * (1 + unique_users * 0.1::DOUBLE), 6) AS trend_score
+FROM a WHERE recent >= 3 ORDER BY recent / 86400.0::DOUBLE * 60 * (1 + unique_users * 0.1::DOUBLE) DESC, tag
 LIMIT 10""")
 def _(t):
-    return rounded(trending.worker_trends(messages.hashtag_occurrences(t.posts), AS_OF_S - DAY))
+    return rounded(trending.worker_trends(
+        messages.hashtag_occurrences(t.posts), AS_OF_S - DAY, seconds=DAY))
 
 
 TAG_WINDOW_SQL = rf"""
