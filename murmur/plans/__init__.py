@@ -2,7 +2,7 @@
 
 from murmur.plans import (  # noqa: F401
     engagement_queries, join_queries, report_queries, row_queries, source_queries,
-    table_queries, trending_queries)
+    stream_queries, table_queries, trending_queries)
 from murmur.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -1,0 +1,105 @@
+"""Keyed state that built-in aggregates cannot express."""
+
+from __future__ import annotations
+
+import sys
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+SPREAD = 16
+
+# Ship the processors by value: workers need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+class SlidingLog(StatefulProcessor):
+    """Counts per second of the last ``seconds`` seconds of a key.
+
+    The state is one number per second, so its size does not grow with the traffic.
+    """
+
+    def __init__(self, seconds: int):
+        self.seconds = seconds
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.counts = handle.getMapState(
+            "counts", T.StructType([T.StructField("second", T.LongType())]),
+            T.StructType([T.StructField("n", T.LongType())]))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
+        added = pd.concat([r.groupby("second").size() for r in rows]).groupby(level=0).sum()
+        kept = {k[0]: v[0] for k, v in self.counts.iterator()}
+        for second, n in added.items():
+            kept[int(second)] = kept.get(int(second), 0) + int(n)
+        first = max(kept) - self.seconds
+        for second in list(kept):
+            if second < first:
+                del kept[second]
+                self.counts.removeKey((second,))
+            elif second in added.index:
+                self.counts.updateValue((second,), (kept[second],))
+        yield pd.DataFrame({"tag": key[0], "salt": key[1], "second": list(kept.keys()),
+                            "n": list(kept.values())})
+
+    def close(self) -> None:
+        pass
+
+
+def sliding_log(tags: DataFrame, seconds: int) -> DataFrame:
+    """Emit, per tag and salt, the counts per second that are still in the log.
+
+    A hot tag is spread over salts by user; the parts add up downstream.
+    """
+    salted = tags.select("tag", F.pmod(F.xxhash64("user_id"), F.lit(SPREAD)).alias("salt"),
+                         F.unix_seconds("ts").alias("second"))
+    return salted.groupBy("tag", "salt").transformWithStateInPandas(
+        SlidingLog(seconds), "tag string, salt long, second long, n long", "update",
+        "none")
+
+
+def log_totals(latest: DataFrame, seconds: int) -> DataFrame:
+    """Mentions of the last seconds per tag from the newest logs of all salts."""
+    newest = latest.groupBy("tag").agg(F.max("second").alias("newest"))
+    return (latest.join(newest, "tag").filter(F.col("second") >= F.col("newest") - seconds)
+            .groupBy("tag").agg(F.sum("n").alias("n")))
+
+
+def sliding_counts(tags: DataFrame, seconds: int) -> DataFrame:
+    """Batch form of the same report."""
+    per_second = tags.groupBy("tag", F.unix_seconds("ts").alias("second")).agg(
+        F.count(F.lit(1)).alias("n"))
+    return log_totals(per_second, seconds)
+
+
+class LastWriteWins(StatefulProcessor):
+    """Keep the newest copy of a record and emit the winner after every copy."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.best = handle.getValueState("best", T.StructType([
+            T.StructField("updated_us", T.LongType()), T.StructField("seq", T.LongType())]))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
+        best = self.best.get() if self.best.exists() else None
+        arrived = pd.concat(list(rows)).sort_values("seq")
+        winners = []
+        for updated, seq in zip(arrived["updated_us"], arrived["seq"]):
+            if best is None or updated > best[0]:
+                best = (int(updated), int(seq))
+            winners.append(best[1])
+        self.best.update(best)
+        yield pd.DataFrame({"content_id": key[0], "seq": arrived["seq"], "winner_seq": winners})
+
+    def close(self) -> None:
+        pass
+
+
+def resolve_stream(copies: DataFrame) -> DataFrame:
+    """copies: content_id, seq, updated_us."""
+    return copies.groupBy("content_id").transformWithStateInPandas(
+        LastWriteWins(), "content_id long, seq long, winner_seq long", "append", "none")
