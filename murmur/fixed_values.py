@@ -13,7 +13,7 @@ SPAM_SCORE_LIMIT = 0.85
 SPAM_EMOJI_LIMIT = 10
 SPAM_MIN_REPUTATION = 20
 DEFAULT_REPUTATION = 50
-EMOJI_CLASS = r"[\x{1F600}-\x{1F64F}\x{1F300}-\x{1F5FF}\x{1F680}-\x{1F6FF}]"
+EMOJI_CLASS = r"\x{1F600}-\x{1F64F}\x{1F300}-\x{1F5FF}\x{1F680}-\x{1F6FF}"
 SPAM_WEIGHTS = {
     "base": 0.5, "url_count": -0.3, "all_caps_ratio": -0.4,
     "exclamation_count": -0.2, "emoji_count": -0.1, "content_length": 0.05,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -54,9 +54,22 @@ def count_text(value: Column, needle: str) -> Column:
     return ((F.length(value) - gone) / F.lit(len(needle))).cast("long")
 
 
-def count_pattern(value: Column, pattern: str) -> Column:
-    """Occurrences of a one-character pattern."""
-    return (F.length(value) - F.length(F.regexp_replace(value, pattern, ""))).cast("long")
+def count_chars(value: Column, char_class: str) -> Column:
+    """Characters of a class, given as the inside of a bracket expression.
+
+    Runs of other characters are removed as a whole, and only from rows with a hit.
+    """
+    kept = F.regexp_replace(value, f"[^{char_class}]++", "")
+    return F.when(value.rlike(f"[{char_class}]"), F.length(kept)).otherwise(0).cast("long")
+
+
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that later filters and projections will not compute again.
+
+    Spark copies the expression of an ordinary column into every filter above it; a
+    generator of one row stops that.
+    """
+    return df.withColumn(name, F.explode(F.array(value)))
 
 
 def hits(value: Column, words: list[str]) -> Column:

@@ -8,35 +8,44 @@ from pyspark.sql import functions as F
 from murmur import fixed_values as fv
 from murmur.functions import text
 from murmur.functions.columns import (
-    any_hit, clamp01, count_if, count_pattern, count_text, first_match, hits, md5_mod)
+    any_hit, clamp01, computed_once, count_chars, count_if, count_text, first_match, hits,
+    md5_mod)
 
 
 def spam_score(content: Column) -> Column:
     w = fv.SPAM_WEIGHTS
     size = F.length(content)
-    upper = count_pattern(content, r"\p{Lu}") / F.greatest(size, F.lit(1))
+    upper = count_chars(content, r"\p{Lu}") / F.greatest(size, F.lit(1))
     return clamp01(
         F.lit(w["base"])
         + F.lit(w["url_count"]) * count_text(content, "http")
         + F.lit(w["all_caps_ratio"]) * upper
         + F.lit(w["exclamation_count"]) * count_text(content, "!")
-        + F.lit(w["emoji_count"]) * count_pattern(content, fv.EMOJI_CLASS)
+        + F.lit(w["emoji_count"]) * count_chars(content, fv.EMOJI_CLASS)
         + F.lit(w["content_length"]) * (size / F.lit(1000.0)))
 
 
-def spam_reason(content: Column, reputation: Column | None = None) -> Column:
+LOW = "__low"
+
+
+def with_lower(posts: DataFrame) -> DataFrame:
+    """Lower-case text as a column of its own, made once for all the tests on it."""
+    return posts.withColumn(LOW, F.lower("content"))
+
+
+def spam_reason(content: Column, lowered: Column, reputation: Column | None = None) -> Column:
     """The first tier that fires, or 'clean'."""
     known = F.lit(fv.DEFAULT_REPUTATION) if reputation is None else F.coalesce(
         reputation, F.lit(fv.DEFAULT_REPUTATION))
     return first_match([
-        (content.rlike(text.whole_words(fv.SPAM_PHRASES)), "keyword_match"),
-        (count_pattern(content, fv.EMOJI_CLASS) > fv.SPAM_EMOJI_LIMIT, "emoji_spam"),
+        (text.holds_words(content, lowered, fv.SPAM_PHRASES), "keyword_match"),
+        (count_chars(content, fv.EMOJI_CLASS) > fv.SPAM_EMOJI_LIMIT, "emoji_spam"),
         (spam_score(content) > fv.SPAM_SCORE_LIMIT, "ml_detected"),
         (known < fv.SPAM_MIN_REPUTATION, "behavior_anomaly"),
     ], "clean")
 
 
-def policy(content: Column) -> Column:
+def policy(content: Column, lowered: Column) -> Column:
     """struct<action, violations>."""
     mature = F.filter(
         F.array(*[F.when(content.rlike(text.whole_words([w])), F.lit("mature_content"))
@@ -47,10 +56,10 @@ def policy(content: Column) -> Column:
         return F.struct(F.lit(action).alias("action"), violations.alias("violations"))
 
     return first_match([
-        (content.rlike(text.whole_words(fv.PROHIBITED_WORDS)),
+        (text.holds_words(content, lowered, fv.PROHIBITED_WORDS),
          verdict("REMOVE", F.array(F.lit("prohibited_content")))),
-        (content.rlike(text.whole_words(fv.MATURE_WORDS)), verdict("RESTRICT", mature)),
-        (content.rlike(text.any_of(fv.CLICKBAIT_PHRASES)),
+        (text.holds_words(content, lowered, fv.MATURE_WORDS), verdict("RESTRICT", mature)),
+        (text.holds_any(content, lowered, fv.CLICKBAIT_PHRASES),
          verdict("DEPRIORITIZE", F.array(F.lit("low_quality")))),
     ], verdict("ALLOW", F.array().cast("array<string>")))
 
@@ -59,8 +68,7 @@ def user_reputation(user: Column) -> Column:
     return md5_mod(user, 50) + F.lit(50)
 
 
-def category(content: Column) -> Column:
-    lowered = F.lower(content)
+def category(lowered: Column) -> Column:
     return first_match([(any_hit(lowered, words), name)
                         for name, words in fv.CATEGORY_WORDS.items()], fv.DEFAULT_CATEGORY)
 
@@ -72,31 +80,40 @@ def engagement_prediction(content: Column, reputation: Column, has_image: Column
     return clamp01(F.lit(0.5) + (reputation - 50) / F.lit(100) * F.lit(0.3) + by_size + image)
 
 
-def sentiment(content: Column) -> Column:
-    lowered = F.lower(content)
+def sentiment(lowered: Column) -> Column:
     good, bad = hits(lowered, fv.POSITIVE_WORDS), hits(lowered, fv.NEGATIVE_WORDS)
     return first_match([(good > bad, "positive"), (bad > good, "negative")], "neutral")
 
 
 def enrich(posts: DataFrame) -> DataFrame:
     """Add reputation, category, engagement prediction and sentiment."""
-    content = F.col("content")
-    rated = posts.withColumn(
-        "user_reputation",
-        user_reputation(F.coalesce(F.col("user_id").cast("string"), F.lit("unknown"))))
-    return rated.withColumns({
-        "category": category(content),
+    user = F.coalesce(F.col("user_id").cast("string"), F.lit("unknown"))
+    prepared = with_lower(posts).withColumn("user_reputation", user_reputation(user))
+    return prepared.withColumns({
+        "category": category(F.col(LOW)),
         "engagement_prediction": engagement_prediction(
-            content, F.col("user_reputation"), F.col("has_image")),
-        "sentiment": sentiment(content),
-    })
+            F.col("content"), F.col("user_reputation"), F.col("has_image")),
+        "sentiment": sentiment(F.col(LOW)),
+    }).drop(LOW)
+
+
+def with_spam_reason(posts: DataFrame, reputation: Column | None = None) -> DataFrame:
+    rows = with_lower(posts)
+    return computed_once(rows, "spam_reason", spam_reason(
+        F.col("content"), F.col(LOW), reputation)).drop(LOW)
+
+
+def with_policy(posts: DataFrame) -> DataFrame:
+    return computed_once(with_lower(posts), "policy", policy(
+        F.col("content"), F.col(LOW))).drop(LOW)
 
 
 def judged(posts: DataFrame) -> DataFrame:
     """Add the spam reason and, for rows that are no spam, the policy verdict."""
-    with_reason = posts.withColumn("spam_reason", spam_reason(F.col("content")))
-    return with_reason.withColumn(
-        "policy", F.when(F.col("spam_reason") == "clean", policy(F.col("content"))))
+    content, lowered = F.col("content"), F.col(LOW)
+    rows = computed_once(with_lower(posts), "spam_reason", spam_reason(content, lowered))
+    return computed_once(rows, "policy", F.when(
+        F.col("spam_reason") == "clean", policy(content, lowered))).drop(LOW)
 
 
 def moderate(posts: DataFrame) -> DataFrame:

@@ -181,7 +181,7 @@ def _(t):
 
 # Moderation.
 
-EMOJI_SQL = f"(length(content) - length(regexp_replace(content, '{fv.EMOJI_CLASS}', '', 'g')))"
+EMOJI_SQL = f"(length(content) - length(regexp_replace(content, '[{fv.EMOJI_CLASS}]', '', 'g')))"
 SPAM_SCORE_SQL = rf"""greatest(0.0::DOUBLE, least(1.0::DOUBLE, 0.5::DOUBLE
   - 0.3::DOUBLE * ((length(content) - length(replace(content, 'http', ''))) // 4)
   - 0.4::DOUBLE * (length(regexp_replace(content, '[^\p{{Lu}}]', '', 'g'))
@@ -203,8 +203,7 @@ CLEAN_SPAM_SQL = SPAM_SQL.replace("REPUTATION", "50")
 SELECT post_id, {RATED_SPAM_SQL} AS spam_reason FROM text_posts""")
 def _(t):
     reputation = F.when(F.col("user_id") == "src14", 10)
-    return t.text_posts.select(
-        "post_id", moderation.spam_reason(F.col("content"), reputation).alias("spam_reason"))
+    return moderation.with_spam_reason(t.text_posts, reputation).select("post_id", "spam_reason")
 
 
 @query("map_spam_score", "text_posts",
@@ -229,8 +228,8 @@ VIOLATIONS_SQL = f"""CASE action WHEN 'REMOVE' THEN 'prohibited_content'
 SELECT post_id, action, {VIOLATIONS_SQL} AS violations
 FROM (SELECT post_id, content, {ACTION_SQL} AS action FROM text_posts)""")
 def _(t):
-    return (t.text_posts.select("post_id", moderation.policy(F.col("content")).alias("p"))
-            .select("post_id", "p.action", joined("p.violations").alias("violations")))
+    return moderation.with_policy(t.text_posts).select(
+        "post_id", "policy.action", joined("policy.violations").alias("violations"))
 
 
 REPUTATION_SQL = "CAST(50 + ('0x' || md5(user_id))::UHUGEINT % 50 AS BIGINT)"
