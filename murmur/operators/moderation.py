@@ -14,6 +14,7 @@ from murmur.functions.columns import (
 
 def spam_score(content: Column) -> Column:
     w = fv.SPAM_WEIGHTS
+    content = F.coalesce(content, F.lit(""))
     size = F.length(content)
     upper = count_chars(content, r"\p{Lu}") / F.greatest(size, F.lit(1))
     return clamp01(
@@ -29,8 +30,12 @@ LOW = "__low"
 
 
 def with_lower(posts: DataFrame) -> DataFrame:
-    """Lower-case text as a column of its own, made once for all the tests on it."""
-    return posts.withColumn(LOW, F.lower("content"))
+    """Lower-case text as a column of its own, made once for all the tests on it.
+
+    Missing text counts as empty.
+    """
+    return posts.withColumn("content", F.coalesce("content", F.lit(""))).withColumn(
+        LOW, F.lower("content"))
 
 
 def spam_reason(content: Column, lowered: Column, reputation: Column | None = None) -> Column:

@@ -39,13 +39,14 @@ def ranking_signals(df: DataFrame, as_of_s: float, level: str = "regular_user")
 
 def user_features(df: DataFrame) -> DataFrame:
     """Needs follower_count, following_count, account_age_days, engagement_rate, interests."""
-    ratio = F.least(F.try_divide(F.col("following_count"), F.col("follower_count")), F.lit(10.0))
+    ratio = F.try_divide(F.coalesce("following_count", F.lit(0)),
+                         F.coalesce("follower_count", F.lit(1)))
     interests = F.coalesce(F.size("interests"), F.lit(0)).cast("long")
     return df.select(
         "user_id",
         F.least(F.coalesce(F.col("follower_count"), F.lit(0)) / F.lit(10000), F.lit(1.0))
         .alias("follower_count_normalized"),
-        F.coalesce(ratio, F.lit(0.0)).alias("following_ratio"),
+        F.least(F.coalesce(ratio, F.lit(0.0)), F.lit(10.0)).alias("following_ratio"),
         F.least(F.coalesce(F.col("account_age_days"), F.lit(0)) / F.lit(365), F.lit(1.0))
         .alias("account_maturity"),
         F.coalesce(F.col("engagement_rate"), F.lit(0.0)).alias("engagement_rate"),

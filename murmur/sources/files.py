@@ -13,7 +13,8 @@ def file_metadata(spark: SparkSession, folder: str, pattern: str = "*",
                   after_s: float | None = None) -> DataFrame:
     """Name, size, checksum, id and type of every file changed after the mark.
 
-    Files are hashed by the tasks that read them, one row per file.
+    Files are hashed by the tasks that read them, one row per file. Spark's reader
+    gives no row for an empty file and refuses files of 2 GB or more.
     """
     files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
              .option("recursiveFileLookup", "true").load(folder))
