@@ -192,7 +192,7 @@ def _(t):
 
 
 @query("dedup_idempotent", "", """
-SELECT l_orderkey, l_linenumber, l_partkey, first_value(l_extendedprice) OVER w AS first_result,
+SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey, first_value(l_extendedprice) OVER w AS first_result,
   row_number() OVER w > 1 AS is_repeat
 FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
   l_extendedprice, l_quantity, l_shipdate)""")
@@ -202,7 +202,8 @@ def _(t):
     requests = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice",
                                  F.struct(*fields).alias("arrival"))
     return tables.first_result(requests, "l_orderkey", "arrival", "l_extendedprice").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "first_result", "is_repeat")
+        "l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"), "l_partkey",
+        "first_result", "is_repeat")
 
 
 def schema_fields(t):
