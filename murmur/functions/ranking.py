@@ -60,11 +60,12 @@ def index_percentiles(
     """Exact percentiles by the rule "element at 0-based index floor(n * p)".
 
     Equal values are merged first, then cumulative counts are built per value
-    bucket (see :mod:`murmur.functions.scans`), so no group is sorted in one task.
+    bucket (see :mod:`murmur.functions.scans`), so no group is sorted in one task. The
+    merged values also give the number, mean and extremes as n, avg, min and max.
     """
     base = df.filter(F.col(value).isNotNull())
     counts = base.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
-    upto = scans.running(
+    upto = scans.scan(
         counts, keys, [value], F.floor(F.col(value) / F.lit(bucket)),
         sums={"__upto": F.col("__n")}, totals={"__total": "__upto"})
     picks = []
@@ -72,4 +73,7 @@ def index_percentiles(
         index = F.least(F.floor(F.col("__total") * F.lit(p)), F.col("__total") - 1)
         inside = (F.col("__upto") > index) & (F.col("__upto") - F.col("__n") <= index)
         picks.append(F.max(F.when(inside, F.col(value))).alias(name))
-    return upto.groupBy(*keys).agg(*picks)
+    basics = [F.sum("__n").alias("n"),
+              (F.sum(F.col(value) * F.col("__n")) / F.sum("__n")).alias("avg"),
+              F.min(value).alias("min"), F.max(value).alias("max")]
+    return upto.groupBy(*keys).agg(*basics, *picks)

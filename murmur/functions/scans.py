@@ -6,17 +6,20 @@ order is cut into chunks: a window runs inside each (key, chunk), every chunk is
 folded to one summary row, a second window runs over these few rows, and its result
 is joined back. ``chunk`` must not decrease along ``order``: an offset divided by a
 constant, or the time cut to the hour.
+
+The rows are shuffled once, by (key, chunk); the join back finds them in place. The
+summaries come from a mergeable aggregate and are small.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CHUNK = "__chunk"
+# Key and chunk as one struct: it is never null, so null keys group and join too.
+AT = "__at"
 OFFSET_CHUNK = 1_000_000
 
 
@@ -28,82 +31,62 @@ def by_time(column: str, seconds: int = 3600) -> Column:
     return F.floor(F.unix_seconds(F.col(column)) / F.lit(seconds))
 
 
-def _carry_join(local: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Null keys form a group of their own, hence the null-safe comparison."""
-    by = [*keys, CHUNK]
-    right = summary.withColumnsRenamed({k: f"__k_{k}" for k in by})
-    match = reduce(lambda a, b: a & b, [local[k].eqNullSafe(right[f"__k_{k}"]) for k in by])
-    return local.join(right, match, "left").drop(CHUNK, *[f"__k_{k}" for k in by])
-
-
-def previous(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    chunk: Column,
-    values: dict[str, str],
-) -> DataFrame:
-    """Add, for each ``out: source`` pair, the source value of the preceding row."""
-    df = df.withColumn(CHUNK, chunk)
-    inner = Window.partitionBy(*keys, CHUNK).orderBy(*order)
-    local = df
-    packed = F.struct(*[F.col(src).alias(out) for out, src in values.items()])
-    local = local.withColumn("__local", F.lag(packed).over(inner))
-    last = df.groupBy(*keys, CHUNK).agg(F.max_by(packed, F.struct(*order)).alias("__last"))
-    outer = Window.partitionBy(*keys).orderBy(CHUNK)
-    carry = last.select(*keys, CHUNK, F.lag("__last").over(outer).alias("__carry"))
-    joined = _carry_join(local, carry, keys)
-    for out in values:
-        joined = joined.withColumn(
-            out, F.coalesce(F.col("__local"), F.col("__carry")).getField(out))
-    return joined.drop("__local", "__carry")
-
-
-def running(
+def scan(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     chunk: Column,
     sums: dict[str, Column] | None = None,
     maxima: dict[str, Column] | None = None,
-    include_current: bool = True,
+    previous: dict[str, str] | None = None,
     totals: dict[str, str] | None = None,
+    include_current: bool = True,
 ) -> DataFrame:
-    """Add running sums and running maxima along ``order``.
+    """Add running sums, running maxima and values of the preceding row.
 
-    With ``include_current=False`` the frame ends at the preceding row. ``totals``
-    maps an output name to the running sum whose total over the key it shall hold.
+    ``sums`` and ``maxima`` map output names to columns; with ``include_current=False``
+    their frame ends at the preceding row. ``previous`` maps output names to source
+    columns. ``totals`` maps an output name to the sum whose total over the whole key it
+    shall hold.
     """
-    sums, maxima, totals = sums or {}, maxima or {}, totals or {}
-    df = df.withColumn(CHUNK, chunk)
+    sums, maxima = sums or {}, maxima or {}
+    previous, totals = previous or {}, totals or {}
+    at = F.struct(*[F.col(k) for k in keys], chunk.alias("chunk"))
+    df = df.withColumn(AT, at)
     end = Window.currentRow if include_current else -1
-    inner = (Window.partitionBy(*keys, CHUNK).orderBy(*order)
-             .rowsBetween(Window.unboundedPreceding, end))
-    outer = (Window.partitionBy(*keys).orderBy(CHUNK)
-             .rowsBetween(Window.unboundedPreceding, -1))
-    local = df.withColumns(
-        {f"__l_{n}": F.sum(c).over(inner) for n, c in sums.items()}
-        | {f"__l_{n}": F.max(c).over(inner) for n, c in maxima.items()})
-    chunks = df.groupBy(*keys, CHUNK).agg(
-        *[F.sum(c).alias(f"__s_{n}") for n, c in sums.items()],
-        *[F.max(c).alias(f"__s_{n}") for n, c in maxima.items()])
-    whole = Window.partitionBy(*keys)
-    carry = chunks.select(
-        *keys, CHUNK,
-        *[F.sum(f"__s_{n}").over(whole).alias(out) for out, n in totals.items()],
-        *[F.sum(f"__s_{n}").over(outer).alias(f"__c_{n}") for n in sums],
-        *[F.max(f"__s_{n}").over(outer).alias(f"__c_{n}") for n in maxima])
-    joined = _carry_join(local, carry, keys)
-    out = {}
-    for n in sums:
-        out[n] = (F.coalesce(F.col(f"__c_{n}"), F.lit(0)) + F.coalesce(F.col(f"__l_{n}"), F.lit(0)))
-    for n in maxima:
-        out[n] = F.greatest(F.col(f"__c_{n}"), F.col(f"__l_{n}"))
-    drop = [f"__{p}_{n}" for n in (*sums, *maxima) for p in "lc"]
-    return joined.withColumns(out).drop(*drop)
+    ordered = Window.partitionBy(AT).orderBy(*order)
+    frame = ordered.rowsBetween(Window.unboundedPreceding, end)
+    packed = F.struct(*[F.col(src).alias(out) for out, src in previous.items()])
+
+    local = {f"__l_{n}": F.sum(c).over(frame) for n, c in sums.items()}
+    local |= {f"__l_{n}": F.max(c).over(frame) for n, c in maxima.items()}
+    folds = [F.sum(c).alias(f"__s_{n}") for n, c in sums.items()]
+    folds += [F.max(c).alias(f"__s_{n}") for n, c in maxima.items()]
+    if previous:
+        local["__l_row"] = F.lag(packed).over(ordered)
+        folds.append(F.max_by(packed, F.struct(*order)).alias("__s_row"))
+
+    whole = Window.partitionBy(*[f"{AT}.{k}" for k in keys])
+    later = whole.orderBy(f"{AT}.chunk")
+    earlier_chunks = later.rowsBetween(Window.unboundedPreceding, -1)
+    carries = [F.sum(f"__s_{n}").over(earlier_chunks).alias(f"__c_{n}") for n in sums]
+    carries += [F.max(f"__s_{n}").over(earlier_chunks).alias(f"__c_{n}") for n in maxima]
+    carries += [F.sum(f"__s_{n}").over(whole).alias(out) for out, n in totals.items()]
+    if previous:
+        carries.append(F.lag("__s_row").over(later).alias("__c_row"))
+    carry = df.groupBy(AT).agg(*folds).select(AT, *carries)
+
+    joined = df.withColumns(local).join(carry, AT, "left")
+    zero = F.lit(0)
+    out = {n: F.coalesce(F.col(f"__c_{n}"), zero) + F.coalesce(F.col(f"__l_{n}"), zero)
+           for n in sums}
+    out |= {n: F.greatest(F.col(f"__c_{n}"), F.col(f"__l_{n}")) for n in maxima}
+    out |= {n: F.coalesce(F.col("__l_row"), F.col("__c_row")).getField(n) for n in previous}
+    names = [*sums, *maxima, *(["row"] if previous else [])]
+    return joined.withColumns(out).drop(AT, *[f"__{p}_{n}" for n in names for p in "lc"])
 
 
 def row_numbers(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, name: str
 ) -> DataFrame:
-    return running(df, keys, order, chunk, sums={name: F.lit(1).cast("long")})
+    return scan(df, keys, order, chunk, sums={name: F.lit(1).cast("long")})

@@ -16,8 +16,9 @@ def counter_rates(samples: DataFrame, keys: list[str], counters: list[str],
 
     samples: keys, ts, counters. First samples and repeated times give no rate.
     """
-    prior = scans.previous(samples, keys, ["ts"], chunk if chunk is not None else
-                           scans.by_time("ts"), {f"p_{c}": c for c in counters} | {"p_ts": "ts"})
+    prior = scans.scan(
+        samples, keys, ["ts"], chunk if chunk is not None else scans.by_time("ts"),
+        previous={f"p_{c}": c for c in counters} | {"p_ts": "ts"})
     seconds = (F.unix_micros("ts") - F.unix_micros("p_ts")) / F.lit(1e6)
     timed = prior.withColumn("seconds", seconds).filter(F.col("seconds") > 0)
     return timed.select(*keys, "ts", *[
@@ -226,8 +227,8 @@ def state_changes(snapshots: DataFrame, keys: list[str], chunk: Column) -> DataF
 
     snapshots: keys, seq, leader, members array.
     """
-    prior = scans.previous(snapshots, keys, ["seq"], chunk,
-                           {"old_leader": "leader", "old_members": "members"})
+    prior = scans.scan(snapshots, keys, ["seq"], chunk,
+                       previous={"old_leader": "leader", "old_members": "members"})
     joined = F.array_sort(F.array_except("members", "old_members"))
     left = F.array_sort(F.array_except("old_members", "members"))
     out = prior.filter(F.col("old_members").isNotNull()).select(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from murmur.functions.columns import count_if, percent
 from murmur.functions.ranking import index_percentiles, top
+from murmur.operators.joins import duration_ms
 from murmur.operators.messages import log_field
 
 
@@ -58,11 +59,8 @@ def latency_stats(logs: DataFrame, keys: list[str]) -> DataFrame:
     """Mean, extremes and index percentiles of the latency per group."""
     latency = F.coalesce(F.col("latency_ms"), log_field("latency_ms").try_cast("double"))
     df = logs.select(*keys, latency.alias("latency")).filter(F.col("latency").isNotNull())
-    basic = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.avg("latency").alias("avg"),
-        F.min("latency").alias("min"), F.max("latency").alias("max"))
-    points = index_percentiles(df, keys, "latency", {"p50": 0.50, "p95": 0.95, "p99": 0.99})
-    return basic.join(points, keys).select(*keys, "n", *[
+    stats = index_percentiles(df, keys, "latency", {"p50": 0.50, "p95": 0.95, "p99": 0.99})
+    return stats.select(*keys, "n", *[
         F.bround(c, 2).alias(c) for c in ("avg", "min", "max", "p50", "p95", "p99")])
 
 
@@ -112,8 +110,8 @@ def component_logs(logs: DataFrame, component: str, n: int = 10) -> DataFrame:
 
 
 def trace_summary(spans: DataFrame) -> DataFrame:
-    """Totals over all spans; needs trace_id, service, duration_ms."""
-    return spans.agg(
+    """Totals over all spans; needs trace_id, service, start_ts, end_ts."""
+    return spans.withColumn("duration_ms", duration_ms()).agg(
         F.count(F.lit(1)).alias("total_spans"),
         F.count_distinct("service").alias("active_services"),
         F.avg("duration_ms").alias("avg_duration_ms"),

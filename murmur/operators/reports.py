@@ -57,9 +57,8 @@ def order_violations(messages: DataFrame) -> DataFrame:
     the time order hold different times there. Both orders are numbered without putting
     a user into one task, and meet on (user, position).
     """
-    seq_chunk = scans.by_offset("seq")
-    numbered = scans.row_numbers(messages, ["user_id"], ["seq"], seq_chunk, "position")
-    prior = scans.previous(numbered, ["user_id"], ["seq"], seq_chunk, {"before_s": "sent_s"})
+    prior = scans.scan(messages, ["user_id"], ["seq"], scans.by_offset("seq"),
+                       sums={"position": F.lit(1).cast("long")}, previous={"before_s": "sent_s"})
     arrival = prior.select(
         "user_id", "position", "sent_s",
         F.coalesce(F.col("sent_s") < F.col("before_s"), F.lit(False)).alias("is_late"))

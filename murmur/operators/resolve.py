@@ -56,7 +56,7 @@ def merge_contents(df: DataFrame, key: str = "content_id",
 
     A copy is accepted when its time exceeds those of all copies before it.
     """
-    seen = scans.running(
+    seen = scans.scan(
         df, [key], ["seq"], chunk if chunk is not None else scans.by_offset("seq"),
         maxima={"__seen": F.col("updated_at")}, include_current=False)
     row = F.struct(*[c for c in df.columns if c != key])

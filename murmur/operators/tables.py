@@ -40,9 +40,9 @@ def compaction_stats(log: DataFrame) -> DataFrame:
     """
     chunk = scans.by_offset("log_offset")
     dead = F.col("payload").isNull()
-    epochs = scans.running(log, ["log_key"], ["log_offset"], chunk,
-                           sums={"epoch": F.when(dead, F.lit(1)).otherwise(F.lit(0))})
-    updates = scans.running(
+    epochs = scans.scan(log, ["log_key"], ["log_offset"], chunk,
+                        sums={"epoch": F.when(dead, F.lit(1)).otherwise(F.lit(0))})
+    updates = scans.scan(
         epochs.filter(~dead), ["log_key", "epoch"], ["log_offset"], chunk,
         maxima={"stored_version": F.col("version")}, include_current=False)
     counted = updates.agg(

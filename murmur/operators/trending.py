@@ -23,11 +23,12 @@ def hashtag_trends(tags: DataFrame) -> DataFrame:
     users before the final count.
     """
     by_user = tags.groupBy("hashtag", "user_id").agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.struct("post_id", "ts")).alias("last"))
+        F.count(F.lit(1)).alias("n"), F.max("post_id").alias("last_id"),
+        F.max_by("ts", "post_id").alias("last_ts"))
     return by_user.groupBy("hashtag").agg(
         F.sum("n").alias("mention_count"),
         F.count("user_id").alias("unique_users"),
-        F.max("last").getField("ts").alias("latest_ts"))
+        F.max_by("last_ts", "last_id").alias("latest_ts"))
 
 
 def trending_top(trends: DataFrame, n: int = 10) -> DataFrame:

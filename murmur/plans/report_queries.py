@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from murmur.functions import scans
 from murmur.functions.columns import lookup, md5_mod
 from murmur.operators import health, logs, messages, reports, validate
-from murmur.operators.joins import trace_spans
 from murmur.plans.join_queries import SPANS_SQL, spans_of
 from murmur.plans.registry import query
 from murmur.plans.row_queries import (
@@ -99,7 +98,7 @@ SELECT count(*) AS total_spans, count(DISTINCT service) AS active_services,
   round(avg(duration_ms), 6) AS avg_duration_ms, count(DISTINCT trace_id) AS complete_traces
 FROM ({SPANS_SQL})""")
 def _(t):
-    return rounded(logs.trace_summary(trace_spans(spans_of(t))))
+    return rounded(logs.trace_summary(spans_of(t)))
 
 
 @query("agg_trace_newest", "ev", f"""
@@ -500,7 +499,7 @@ def _(t):
 
 
 @query("agg_distribution_health", "ev", """
-WITH w AS (SELECT user_id, count(*) AS n FROM ev GROUP BY user_id),
+WITH w AS (SELECT ('0x' || md5('user:' || user_id))::UHUGEINT % 100 AS p, count(*) AS n FROM ev GROUP BY 1),
 f AS (SELECT CASE WHEN n > avg(n) OVER () * 1.5::DOUBLE THEN 'hot' WHEN n < avg(n) OVER () * 0.5::DOUBLE
   THEN 'cold' ELSE 'normal' END AS flag FROM w)
 SELECT count(*) AS partitions, count(*) FILTER (flag = 'hot') AS hot, count(*) FILTER (flag = 'cold') AS cold,
@@ -508,7 +507,8 @@ SELECT count(*) AS partitions, count(*) FILTER (flag = 'hot') AS hot, count(*) F
   CASE WHEN count(*) FILTER (flag = 'hot') / count(*) > 0.1 THEN 'unhealthy'
     WHEN count(*) FILTER (flag = 'hot') / count(*) > 0.05 THEN 'warning' ELSE 'healthy' END AS health FROM f""")
 def _(t):
-    loads = t.ev.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    part = md5_mod(F.concat(F.lit("user:"), F.col("user_id")), 100)
+    loads = t.ev.groupBy(part.alias("partition")).agg(F.count(F.lit(1)).alias("n"))
     return reports.distribution_health(reports.hotspots(loads, "n", 1.5, 0.5))
 
 

@@ -19,6 +19,7 @@ from murmur.schemas import TABLE_EVENT
 from murmur.session import shared_dir
 from murmur.sources.messages import file_stream
 from murmur.streaming import runner, sinks, stateful, windows
+from murmur.streaming.resolve import LastWriteWins
 
 SEC = "epoch_us(ts) // 1000000"
 
@@ -32,11 +33,12 @@ def tags_of(posts):
     return maps.hashtag_occurrences(posts, 2)
 
 
-def staged(t: Tables, *parts) -> str:
-    """Event rows written as successive files, so that a stream meets them in turn."""
+def staged(t: Tables, *parts, after=lambda folder: None) -> str:
+    """Event rows written part by part; ``after`` runs when a part has arrived."""
     folder = shared_dir(t.spark, "staged")
     for part in parts:
-        part.coalesce(1).write.mode("append").parquet(folder)
+        part.write.mode("append").parquet(folder)
+        after(folder)
     return folder
 
 
@@ -65,19 +67,21 @@ FROM (SELECT *, unnest(generate_series({SEC} // 300 * 300 - 1500, {SEC} // 300 *
 @query("st_hopping", "posts", HOPS_SQL)
 def _(t):
     """All windows, open ones included: update mode into a table."""
-    hops = windows.hopping(tags_of(posts_from(events(t))), "30 minutes", "5 minutes", "5 minutes")
+    users = windows.hopping_users(tags_of(posts_from(events(t))), "30 minutes", "5 minutes",
+                                  "5 minutes")
     out = shared_dir(t.spark, "hopping")
-    table = sinks.BatchTable(t.spark, f"{out}/rows", hops.schema,
-                             sinks.newest_by(["tag", "window_start"]))
-    runner.each_batch(hops, table.write, f"{out}/checkpoint")
-    return rounded(table.current(), 4)
+    table = sinks.BatchTable(t.spark, f"{out}/rows", users.schema,
+                             sinks.newest_by(["tag", "window_start", "user_id"]))
+    runner.each_batch(users, table.write, f"{out}/checkpoint")
+    return rounded(windows.window_totals(table.current()), 4)
 
 
 @query("st_grace", "posts", f"""
 SELECT * FROM ({HOPS_SQL}) WHERE (window_start + 1800) * 1000 <= {LIMIT_SQL} - 300000""")
 def _(t):
     """Only windows whose grace period is over: append mode."""
-    hops = windows.hopping(tags_of(posts_from(events(t))), "30 minutes", "5 minutes", "5 minutes")
+    hops = windows.hopping_closed(tags_of(posts_from(events(t))), "30 minutes", "5 minutes",
+                                  "5 minutes")
     return rounded(runner.finished(t.spark, hops, "grace"), 4)
 
 
@@ -90,30 +94,26 @@ def _(t):
     return runner.finished(t.spark, out, "retention")
 
 
-LAST_DAY = "2024-01-30 00:00:00"
-
-
 @query("st_late", "ev", f"""
-WITH m AS (SELECT max(epoch_us(ts)) // 1000 - 600000 AS w FROM ev
-  WHERE event_type <> 'error' AND ts < TIMESTAMP '{LAST_DAY}')
+WITH m AS (SELECT max(epoch_us(ts)) // 1000 - 600000 AS w FROM ev WHERE event_type <> 'error')
 SELECT event_type, {SEC} // 3600 * 3600 AS window_start, count(*) AS n FROM ev, m
 WHERE event_type <> 'error' OR ({SEC} // 3600 * 3600 + 3600) * 1000 > w GROUP BY 1, 2""")
 def _(t):
-    """Errors arrive after all other events: those of closed windows are dropped.
-
-    Spark judges lateness by the watermark of the batch before, hence three batches.
-    """
+    """Errors arrive after all other events: those of closed windows are dropped."""
     late = F.col("event_type") == "error"
-    last = F.col("ts") >= F.to_timestamp_ntz(F.lit(LAST_DAY))
-    raw = t.events
-    folder = staged(t, raw.filter(~late & ~last), raw.filter(~late & last), raw.filter(late))
-    out = windows.tumbling(events(t, folder, "*.parquet", 1), "event_type", "1 hour",
-                           "10 minutes")
     target = shared_dir(t.spark, "late")
-    table = sinks.BatchTable(t.spark, f"{target}/rows", out.schema,
-                             sinks.newest_by(["event_type", "window_start"]))
-    runner.each_batch(out, table.write, f"{target}/checkpoint")
-    return table.current()
+    tables = []
+
+    def run(folder):
+        out = windows.tumbling(events(t, folder, "*.parquet"), "event_type", "1 hour",
+                               "10 minutes")
+        table = sinks.BatchTable(t.spark, f"{target}/rows", out.schema,
+                                 sinks.newest_by(["event_type", "window_start"]))
+        runner.each_batch(out, table.write, f"{target}/checkpoint")
+        tables.append(table)
+
+    staged(t, t.events.filter(~late), t.events.filter(late), after=run)
+    return tables[-1].current()
 
 
 TAG_HOURS_SQL = f"""
@@ -247,19 +247,16 @@ def _(t):
 def _(t):
     """Stop after half of the input and restart from the checkpoint."""
     half = F.col("ts") < F.to_timestamp_ntz(F.lit("2024-01-15 00:00:00"))
-    folder = staged(t, t.events.filter(half))
     target = shared_dir(t.spark, "recover")
     schema = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("n", T.LongType())])
     table = sinks.BatchTable(t.spark, f"{target}/rows", schema, sinks.newest_by(["user_id"]))
 
-    def run():
-        counts = events(t, folder, "*.parquet", 1).groupBy("user_id").agg(
+    def run(folder):
+        counts = events(t, folder, "*.parquet").groupBy("user_id").agg(
             F.count(F.lit(1)).alias("n"))
         runner.each_batch(counts, table.write, f"{target}/checkpoint")
 
-    run()
-    t.events.filter(~half).coalesce(1).write.mode("append").parquet(folder)
-    run()
+    staged(t, t.events.filter(half), t.events.filter(~half), after=run)
     return table.current()
 
 
@@ -322,10 +319,17 @@ SELECT content_id, seq, CAST(999999999 - m % 1000000000 AS BIGINT) AS winner_seq
 def _(t):
     from types import SimpleNamespace
 
-    source = copies(SimpleNamespace(ev=events(t))).filter(F.col("updated_at").isNotNull())
-    rows = stateful.resolve_stream(source.select(
-        "content_id", "seq", F.unix_micros("updated_at").alias("updated_us")))
-    return runner.finished(t.spark, rows, "resolve")
+    def run(folder):
+        source = copies(SimpleNamespace(ev=events(t, folder, "*.parquet")))
+        rows = source.filter(F.col("updated_at").isNotNull()).select(
+            "content_id", "seq", F.unix_micros("updated_at").alias("updated_us"))
+        runner.each_batch(rows, handler, f"{target}/checkpoint", "append")
+
+    target = shared_dir(t.spark, "resolve")
+    handler = LastWriteWins(t.spark, target)
+    half = F.col("ts") < F.to_timestamp_ntz(F.lit("2024-01-15 00:00:00"))
+    staged(t, t.events.filter(half), t.events.filter(~half), after=run)
+    return handler.emitted.current().drop("batch")
 
 
 @query("st_dedup", "ev", "SELECT user_id, count(*) AS n FROM ev GROUP BY user_id")

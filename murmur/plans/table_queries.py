@@ -184,9 +184,9 @@ SELECT event_id, CASE WHEN event_type = p_type THEN k > p_k ELSE ts > p_ts END A
   SELECT *, lag(event_type) OVER w AS p_type, lag(k) OVER w AS p_k, lag(ts) OVER w AS p_ts FROM ev
   WINDOW w AS (PARTITION BY user_id ORDER BY event_id)) WHERE p_type IS NOT NULL""")
 def _(t):
-    pairs = scans.previous(
+    pairs = scans.scan(
         t.ev, ["user_id"], ["event_id"], scans.by_offset("event_id"),
-        {"other_event_type": "event_type", "other_k": "k", "other_ts": "ts"})
+        previous={"other_event_type": "event_type", "other_k": "k", "other_ts": "ts"})
     return pairs.filter(F.col("other_event_type").isNotNull()).select(
         "event_id", resolve.is_newer("event_type", "k", "ts").alias("newer"))
 

@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 Merge = Callable[[DataFrame], DataFrame]
 
@@ -28,7 +29,7 @@ class BatchTable:
 
     def partials(self) -> DataFrame:
         """All partial rows with the id of their batch."""
-        schema = self.schema.add("batch", "long") if "batch" not in self.schema.names else self.schema
+        schema = T.StructType([*self.schema.fields, T.StructField("batch", T.LongType())])
         return (self.spark.read.schema(schema).option("basePath", self.path)
                 .parquet(self.path))
 

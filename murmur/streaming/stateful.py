@@ -75,31 +75,3 @@ def sliding_counts(tags: DataFrame, seconds: int) -> DataFrame:
     per_second = tags.groupBy("tag", F.unix_seconds("ts").alias("second")).agg(
         F.count(F.lit(1)).alias("n"))
     return log_totals(per_second, seconds)
-
-
-class LastWriteWins(StatefulProcessor):
-    """Keep the newest copy of a record and emit the winner after every copy."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.best = handle.getValueState("best", T.StructType([
-            T.StructField("updated_us", T.LongType()), T.StructField("seq", T.LongType())]))
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
-        best = self.best.get() if self.best.exists() else None
-        arrived = pd.concat(list(rows)).sort_values("seq")
-        winners = []
-        for updated, seq in zip(arrived["updated_us"], arrived["seq"]):
-            if best is None or updated > best[0]:
-                best = (int(updated), int(seq))
-            winners.append(best[1])
-        self.best.update(best)
-        yield pd.DataFrame({"content_id": key[0], "seq": arrived["seq"], "winner_seq": winners})
-
-    def close(self) -> None:
-        pass
-
-
-def resolve_stream(copies: DataFrame) -> DataFrame:
-    """copies: content_id, seq, updated_us."""
-    return copies.groupBy("content_id").transformWithStateInPandas(
-        LastWriteWins(), "content_id long, seq long, winner_seq long", "append", "none")

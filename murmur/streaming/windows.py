@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from murmur.functions.ranking import ranked_top
@@ -15,20 +15,40 @@ def tumbling(df: DataFrame, key: str, size: str, delay: str) -> DataFrame:
     return out.select(key, F.unix_seconds("window.start").alias("window_start"), "n")
 
 
-def hopping(tags: DataFrame, size: str, hop: str, delay: str) -> DataFrame:
-    """Mentions, users and engagement per hashtag and hopping window.
+def _per_user(tags: DataFrame, size: str, hop: str, delay: str) -> DataFrame:
+    return tags.withWatermark("ts", delay).groupBy(
+        F.window("ts", size, hop), "tag", "user_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("engagement_score").alias("engagement"))
 
-    Streams cannot count distinct values exactly without keeping them; the users of a
-    window are kept as a set, which eviction bounds in time.
+
+def _totals() -> list[Column]:
+    return [F.sum("n").alias("mention_count"), F.count("user_id").alias("unique_users"),
+            F.sum("engagement").alias("total_engagement")]
+
+
+def hopping_closed(tags: DataFrame, size: str, hop: str, delay: str) -> DataFrame:
+    """Mentions, users and engagement per hashtag and hopping window, once it is closed.
+
+    Users are counted exactly by two aggregations in a row: the state of a hot hashtag
+    is spread over its users and no set of users is kept. Append mode only.
     """
-    out = tags.withWatermark("ts", delay).groupBy(F.window("ts", size, hop), "tag").agg(
-        F.count(F.lit(1)).alias("mention_count"),
-        F.size(F.collect_set("user_id")).cast("long").alias("unique_users"),
-        F.sum("engagement_score").alias("total_engagement"))
+    out = _per_user(tags, size, hop, delay).groupBy("window", "tag").agg(*_totals())
     return out.select("tag", F.unix_seconds("window.start").alias("window_start"),
                       "mention_count", "unique_users", "total_engagement")
 
 
+def hopping_users(tags: DataFrame, size: str, hop: str, delay: str) -> DataFrame:
+    """The first half of the above, for update mode; open windows are included."""
+    return _per_user(tags, size, hop, delay).select(
+        "tag", F.unix_seconds("window.start").alias("window_start"), "user_id", "n",
+        "engagement")
+
+
+def window_totals(per_user: DataFrame) -> DataFrame:
+    """The second half, over the table that the updates are kept in."""
+    return per_user.groupBy("tag", "window_start").agg(*_totals())
+
+
 def hopping_users_approx(tags: DataFrame, size: str, hop: str, delay: str,
                          rsd: float = 0.01) -> DataFrame:
     """As ``hopping``, with a sketch of fixed size in place of the set of users."""

@@ -100,11 +100,12 @@ def test_scans_do_not_depend_on_the_chunks(spark, values, size):
     data = [(k, i, v) for i, (k, v) in enumerate(values)]
     frame = spark.createDataFrame(data, "k string, i long, v long")
     chunk = scans.by_offset("i", size)
-    ran = scans.running(frame, ["k"], ["i"], chunk, sums={"total": F.col("v")},
-                        maxima={"top": F.col("v")})
-    before = scans.previous(frame, ["k"], ["i"], chunk, {"p": "v"})
+    ran = scans.scan(frame, ["k"], ["i"], chunk, sums={"total": F.col("v")},
+                     maxima={"top": F.col("v")}, previous={"p": "v"}, totals={"all": "total"})
     got = {r.i: (r.total, r.top) for r in ran.collect()}
-    prior = {r.i: r.p for r in before.collect()}
+    prior = {r.i: r.p for r in ran.collect()}
+    for r in ran.collect():
+        assert r["all"] == sum(v for k, _, v in data if k == r.k)
     for k, i, _ in data:
         seen = [v for kk, ii, v in data if kk == k and ii <= i]
         assert got[i] == (sum(seen), max(seen))

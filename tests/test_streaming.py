@@ -39,16 +39,16 @@ def stream(spark, folder):
 
 def test_many_batches_equal_one_table(spark, sf_dir, split_events):
     tags = messages.hashtag_occurrences(posts_from(stream(spark, split_events)), 2)
-    hops = windows.hopping(tags, "30 minutes", "5 minutes", "5 minutes")
+    users = windows.hopping_users(tags, "30 minutes", "5 minutes", "5 minutes")
     target = shared_dir(spark, "hops")
-    table = sinks.BatchTable(spark, f"{target}/rows", hops.schema,
-                             sinks.newest_by(["tag", "window_start"]))
-    runner.each_batch(hops, table.write, f"{target}/checkpoint")
+    table = sinks.BatchTable(spark, f"{target}/rows", users.schema,
+                             sinks.newest_by(["tag", "window_start", "user_id"]))
+    runner.each_batch(users, table.write, f"{target}/checkpoint")
     from murmur.operators.windows import hopping_tags
 
     batch = hopping_tags(messages.hashtag_occurrences(Tables(spark, sf_dir).posts, 2))
     columns = ("tag", "window_start", "mention_count", "unique_users")
-    assert rows(table.current(), *columns) == rows(batch, *columns)
+    assert rows(windows.window_totals(table.current()), *columns) == rows(batch, *columns)
 
 
 def test_sliding_log_over_batches(spark, sf_dir, split_events):
