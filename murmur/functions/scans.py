@@ -27,7 +27,7 @@ def by_offset(column: str, size: int = OFFSET_CHUNK) -> Column:
     return F.floor(F.col(column) / F.lit(size))
 
 
-def by_time(column: str, seconds: int = 3600) -> Column:
+def by_time(column: str, seconds: int = 600) -> Column:
     return F.floor(F.unix_seconds(F.col(column)) / F.lit(seconds))
 
 
@@ -64,7 +64,9 @@ def scan(
     folds += [F.max(c).alias(f"__s_{n}") for n, c in maxima.items()]
     if previous:
         local["__l_row"] = F.lag(packed).over(ordered)
-        folds.append(F.max_by(packed, F.struct(*order)).alias("__s_row"))
+        # Column by column, so that plain numbers are merged by hash without a sort.
+        latest = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+        folds += [F.max_by(src, latest).alias(f"__s_{out}") for out, src in previous.items()]
 
     whole = Window.partitionBy(*[f"{AT}.{k}" for k in keys])
     later = whole.orderBy(f"{AT}.chunk")
@@ -73,7 +75,8 @@ def scan(
     carries += [F.max(f"__s_{n}").over(earlier_chunks).alias(f"__c_{n}") for n in maxima]
     carries += [F.sum(f"__s_{n}").over(whole).alias(out) for out, n in totals.items()]
     if previous:
-        carries.append(F.lag("__s_row").over(later).alias("__c_row"))
+        last = F.struct(*[F.col(f"__s_{out}").alias(out) for out in previous])
+        carries.append(F.lag(last).over(later).alias("__c_row"))
     carry = df.groupBy(AT).agg(*folds).select(AT, *carries)
 
     joined = df.withColumns(local).join(carry, AT, "left")

@@ -34,18 +34,14 @@ class SlidingLog(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
         added = pd.concat([r.groupby("second").size() for r in rows]).groupby(level=0).sum()
-        kept = {k[0]: v[0] for k, v in self.counts.iterator()}
-        for second, n in added.items():
-            kept[int(second)] = kept.get(int(second), 0) + int(n)
-        first = max(kept) - self.seconds
-        for second in list(kept):
-            if second < first:
-                del kept[second]
-                self.counts.removeKey((second,))
-            elif second in added.index:
-                self.counts.updateValue((second,), (kept[second],))
-        yield pd.DataFrame({"tag": key[0], "salt": key[1], "second": list(kept.keys()),
-                            "n": list(kept.values())})
+        stored = pd.Series({k[0]: v[0] for k, v in self.counts.iterator()}, dtype="int64")
+        log = added.add(stored, fill_value=0).astype("int64")
+        log = log[log.index >= log.index.max() - self.seconds]
+        for second in stored.index.difference(log.index):
+            self.counts.removeKey((int(second),))
+        for second in added.index.intersection(log.index):
+            self.counts.updateValue((int(second),), (int(log[second]),))
+        yield pd.DataFrame({"tag": key[0], "salt": key[1], "second": log.index, "n": log.values})
 
     def close(self) -> None:
         pass
