@@ -32,6 +32,17 @@ def compact_versioned(log: DataFrame) -> DataFrame:
     return newest_per_key(alive.drop("deleted_at"), ["log_key"], ["version", "log_offset"])
 
 
+def compacted_log(log: DataFrame) -> DataFrame:
+    """At most two rows per key that replay like the whole log does.
+
+    These are the last tombstone and the surviving update. Compacted logs of successive
+    batches can be joined end to end: compacting them gives the state of all batches.
+    """
+    dead = log.filter(F.col("payload").isNull())
+    last_dead = newest_per_key(dead, ["log_key"], ["log_offset"])
+    return compact_versioned(log).unionByName(last_dead)
+
+
 def compaction_stats(log: DataFrame) -> DataFrame:
     """Messages, updates, tombstones, ignored old versions, active and deleted keys.
 

@@ -16,21 +16,29 @@ def hashtag_rows(posts: DataFrame) -> DataFrame:
             .select("post_id", "user_id", "ts", F.explode("hashtags").alias("hashtag")))
 
 
-def hashtag_trends(tags: DataFrame) -> DataFrame:
-    """Per hashtag: mentions, distinct users and the timestamp of the latest offset.
-
-    Rows are merged to (hashtag, user) first, so a hot hashtag is spread over its
-    users before the final count.
-    """
-    by_user = tags.groupBy("hashtag", "user_id").agg(
+def hashtag_user_counts(tags: DataFrame) -> DataFrame:
+    """Mentions per (hashtag, user), on tables and on streams."""
+    return tags.groupBy("hashtag", "user_id").agg(
         F.count(F.lit(1)).alias("n"), F.max("post_id").alias("last_id"),
         F.max_by("ts", "post_id").alias("last_ts"))
+
+
+def hashtag_totals(by_user: DataFrame) -> DataFrame:
     return by_user.groupBy("hashtag").agg(
         F.sum("n").alias("mention_count"),
         F.count("user_id").alias("unique_users"),
         F.max_by("last_ts", "last_id").alias("latest_ts"))
 
 
+def hashtag_trends(tags: DataFrame) -> DataFrame:
+    """Per hashtag: mentions, distinct users and the timestamp of the latest offset.
+
+    Rows are merged to (hashtag, user) first, so a hot hashtag is spread over its
+    users before the final count.
+    """
+    return hashtag_totals(hashtag_user_counts(tags))
+
+
 def trending_top(trends: DataFrame, n: int = 10) -> DataFrame:
     return top(trends, [F.desc("mention_count"), F.asc("hashtag")], n)
 

@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from murmur.operators import messages as maps
-from murmur.operators import moderation, trending
+from murmur.operators import moderation, tables, trending
 from murmur.plans.registry import query
 from murmur.plans.row_queries import ACTION_SQL, CLEAN_SPAM_SQL, rounded
-from murmur.plans.table_queries import COPIES_SQL, copies
-from murmur.plans.views import Tables, event_rows, interactions_from, posts_from
+from murmur.plans.table_queries import COMPACT_SQL, COPIES_SQL, copies
+from murmur.plans.trending_queries import TRENDS_SQL
+from murmur.plans.views import (
+    Tables, changelog_from, event_rows, interactions_from, posts_from)
 from murmur.schemas import TABLE_EVENT
 from murmur.session import shared_dir
 from murmur.sources.messages import file_stream
@@ -24,9 +26,16 @@ from murmur.streaming.resolve import LastWriteWins
 SEC = "epoch_us(ts) // 1000000"
 
 
-def events(t: Tables, folder: str | None = None, pattern: str = "events.parquet",
-           files: int | None = None):
-    return event_rows(file_stream(t.spark, folder or t.folder, TABLE_EVENT, pattern, files))
+def table_path(t: Tables, name: str) -> str:
+    """A pattern that matches the table alone, be it a file or a folder of files.
+
+    A stream takes a folder or a pattern, but not the path of a single file.
+    """
+    return f"{t.folder}/{name}.parque[t]"
+
+
+def events(t: Tables, folder: str | None = None):
+    return event_rows(file_stream(t.spark, folder or table_path(t, "events"), TABLE_EVENT))
 
 
 def tags_of(posts):
@@ -102,18 +111,18 @@ def _(t):
     """Errors arrive after all other events: those of closed windows are dropped."""
     late = F.col("event_type") == "error"
     target = shared_dir(t.spark, "late")
-    tables = []
+    kept = []
 
     def run(folder):
-        out = windows.tumbling(events(t, folder, "*.parquet"), "event_type", "1 hour",
+        out = windows.tumbling(events(t, folder), "event_type", "1 hour",
                                "10 minutes")
         table = sinks.BatchTable(t.spark, f"{target}/rows", out.schema,
                                  sinks.newest_by(["event_type", "window_start"]))
         runner.each_batch(out, table.write, f"{target}/checkpoint")
-        tables.append(table)
+        kept.append(table)
 
     staged(t, t.events.filter(~late), t.events.filter(late), after=run)
-    return tables[-1].current()
+    return kept[-1].current()
 
 
 TAG_HOURS_SQL = f"""
@@ -202,10 +211,9 @@ def _(t):
     """Every micro-batch joins the version of the table that it finds."""
     stream = interactions_from(events(t)).select("event_id", "user_id", "interaction_type")
     target = shared_dir(t.spark, "lookup")
-    rows = t.profiles.select("user_id", "age", "city", "tier")
 
     def join(batch, batch_id):
-        found = batch.join(rows, "user_id")
+        found = batch.join(t.profiles.select("user_id", "age", "city", "tier"), "user_id")
         found.write.mode("overwrite").parquet(f"{target}/rows/batch={batch_id:09d}")
 
     runner.each_batch(stream, join, f"{target}/checkpoint", "append")
@@ -252,7 +260,7 @@ def _(t):
     table = sinks.BatchTable(t.spark, f"{target}/rows", schema, sinks.newest_by(["user_id"]))
 
     def run(folder):
-        counts = events(t, folder, "*.parquet").groupBy("user_id").agg(
+        counts = events(t, folder).groupBy("user_id").agg(
             F.count(F.lit(1)).alias("n"))
         runner.each_batch(counts, table.write, f"{target}/checkpoint")
 
@@ -260,6 +268,37 @@ def _(t):
     return table.current()
 
 
+@query("st_changelog", "changelog", COMPACT_SQL)
+def _(t):
+    """A compacted table kept by a stream that is stopped and restarted."""
+    target = shared_dir(t.spark, "changelog")
+    half = F.col("ts") < F.to_timestamp_ntz(F.lit("2024-01-15 00:00:00"))
+    kept = []
+
+    def run(folder):
+        log = changelog_from(events(t, folder))
+        table = sinks.BatchTable(t.spark, f"{target}/rows", log.schema,
+                                 lambda parts: tables.compact_versioned(parts.drop("batch")))
+        runner.each_batch(log, lambda batch, batch_id: table.write(
+            tables.compacted_log(batch), batch_id), f"{target}/checkpoint", "append")
+        kept.append(table)
+
+    staged(t, t.events.filter(half), t.events.filter(~half), after=run)
+    return kept[-1].current().select("log_key", "log_offset", "version", "payload")
+
+
+@query("st_hashtag_trends", "posts", TRENDS_SQL)
+def _(t):
+    """The trends as a table that a stream keeps: users are counted when it is read."""
+    by_user = trending.hashtag_user_counts(trending.hashtag_rows(posts_from(events(t))))
+    target = shared_dir(t.spark, "trends")
+    table = sinks.BatchTable(t.spark, f"{target}/rows", by_user.schema,
+                             sinks.newest_by(["hashtag", "user_id"]))
+    runner.each_batch(by_user, table.write, f"{target}/checkpoint")
+    return trending.hashtag_totals(table.current()).select(
+        "hashtag", "mention_count", "unique_users", F.unix_seconds("latest_ts").alias("latest_s"))
+
+
 @query("st_state_query", "ev", "SELECT user_id, count(*) AS n FROM ev GROUP BY user_id")
 def _(t):
     """Read the state of a finished run by key, without a sink table."""
@@ -282,7 +321,7 @@ def _(t):
     schema = T.StructType([
         T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
         T.StructField("source", T.StringType())])
-    docs = file_stream(t.spark, t.folder, schema, "documents.parquet")
+    docs = file_stream(t.spark, table_path(t, "documents"), schema)
     posts = docs.select(F.concat("text", lookup(F.col("source"), TAILS, "")).alias("content"))
     judged = moderation.judged(posts)
     clean = F.col("spam_reason") == "clean"
@@ -320,7 +359,7 @@ def _(t):
     from types import SimpleNamespace
 
     def run(folder):
-        source = copies(SimpleNamespace(ev=events(t, folder, "*.parquet")))
+        source = copies(SimpleNamespace(ev=events(t, folder)))
         rows = source.filter(F.col("updated_at").isNotNull()).select(
             "content_id", "seq", F.unix_micros("updated_at").alias("updated_us"))
         runner.each_batch(rows, handler, f"{target}/checkpoint", "append")
@@ -336,6 +375,6 @@ def _(t):
 def _(t):
     """Every event is delivered twice; the second delivery has no effect."""
     folder = staged(t, t.events.unionByName(t.events))
-    once = windows.once_per_id(events(t, folder, "*.parquet"), "event_id", "24 hours")
+    once = windows.once_per_id(events(t, folder), "event_id", "24 hours")
     rows = runner.finished(t.spark, once.select("user_id", "event_id"), "dedup")
     return rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
