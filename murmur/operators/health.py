@@ -55,17 +55,27 @@ def cluster_rollup(samples: DataFrame, by: str = "sample") -> DataFrame:
         F.col("avg_network_idle")))
 
 
-# Alert rules as (metric, column, critical, warning, direction).
+# Alert rules as (metric, column, direction, levels with their limits).
 CLUSTER_RULES = [
-    ("offline_partitions", "total_offline", 1, None, "at_least"),
-    ("under_replicated_partitions", "total_under_replicated", 5, 1, "at_least"),
-    ("request_handler_idle", "avg_request_idle", 10, 20, "below"),
+    ("offline_partitions", "total_offline", "at_least", [("critical", 1)]),
+    ("under_replicated_partitions", "total_under_replicated", "at_least",
+     [("critical", 5), ("warning", 1)]),
+    ("request_handler_idle", "avg_request_idle", "below", [("critical", 10), ("warning", 20)]),
+]
+BROKER_RULES = [("isr_shrinks", "isr_shrinks", "above", [("critical", 10)])]
+CONNECTOR_RULES = [
+    ("high_error_rate", "error_rate", "above", [("P0", 0.05)]),
+    ("task_failure", "failed_tasks", "above", [("P1", 0)]),
+    ("high_lag", "lag_seconds", "above", [("P0", 600)]),
+]
+REGION_RULES = [
+    ("error_rate", "error_rate", "above", [("critical", 0.1)]),
+    ("latency_p99", "latency_p99", "above", [("warning", 500)]),
 ]
-BROKER_RULES = [("isr_shrinks", "isr_shrinks", 10, None, "above")]
 
 
 def alerts(rows: DataFrame, keys: list[str], rules: list[tuple]) -> DataFrame:
-    """One row per broken rule. A critical value does not raise its warning too.
+    """One row per broken rule with the first of its levels that applies.
 
     The rules become an array per row, so no join with a rule table is needed.
     """
@@ -74,11 +84,9 @@ def alerts(rows: DataFrame, keys: list[str], rules: list[tuple]) -> DataFrame:
         return {"at_least": value >= limit, "above": value > limit, "below": value < limit}[direction]
 
     found = []
-    for metric, column, critical, warning, direction in rules:
-        level = [(broken(column, critical, direction), "critical")]
-        if warning is not None:
-            level.append((broken(column, warning, direction), "warning"))
-        found.append(F.struct(F.lit(metric).alias("metric"), first_match(level).alias("level"),
+    for metric, column, direction, levels in rules:
+        level = first_match([(broken(column, limit, direction), name) for name, limit in levels])
+        found.append(F.struct(F.lit(metric).alias("metric"), level.alias("level"),
                               F.col(column).cast("double").alias("value")))
     listed = F.filter(F.array(*found), lambda a: a.level.isNotNull())
     return rows.select(*keys, F.explode(listed).alias("a")).select(*keys, "a.*")

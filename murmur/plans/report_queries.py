@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from murmur.functions import scans
 from murmur.functions.columns import lookup, md5_mod
+from murmur.functions.ranking import index_percentiles
 from murmur.operators import health, logs, messages, reports, validate
 from murmur.plans.join_queries import SPANS_SQL, spans_of
 from murmur.plans.registry import query
@@ -236,6 +237,34 @@ def _(t):
     return health.alerts(brokers(t), ["sample", "broker_id"], health.BROKER_RULES)
 
 
+@query("agg_connector_alerts", "ev", """
+WITH c AS (SELECT event_id AS seq, k / 400.0::DOUBLE AS error_rate, 4 - k % 5 AS failed_tasks,
+  value * 20 AS lag_seconds FROM ev)
+SELECT seq, 'high_error_rate' AS metric, 'P0' AS level, round(error_rate, 6) AS value FROM c
+  WHERE error_rate > 0.05
+UNION ALL SELECT seq, 'task_failure', 'P1', failed_tasks FROM c WHERE failed_tasks > 0
+UNION ALL SELECT seq, 'high_lag', 'P0', round(lag_seconds, 6) FROM c WHERE lag_seconds > 600""")
+def _(t):
+    rows = connectors(t).withColumn("failed_tasks", F.col("tasks_total") - F.col("tasks_running"))
+    return rounded(health.alerts(rows, ["seq"], health.CONNECTOR_RULES))
+
+
+@query("agg_region_alerts", "logs", """
+WITH r AS (SELECT logger, avg(CASE WHEN level = 'ERROR' THEN 1 ELSE 0 END) AS error_rate,
+  max(CASE WHEN rn = floor(n * 0.99::DOUBLE) + 1 THEN latency_ms * 5 END) AS latency_p99
+  FROM (SELECT *, row_number() OVER (PARTITION BY logger ORDER BY latency_ms) AS rn,
+    count(*) OVER (PARTITION BY logger) AS n FROM logs) GROUP BY logger)
+SELECT logger, 'error_rate' AS metric, 'critical' AS level, round(error_rate, 6) AS value FROM r
+  WHERE error_rate > 0.1
+UNION ALL SELECT logger, 'latency_p99', 'warning', round(latency_p99, 6) FROM r WHERE latency_p99 > 500""")
+def _(t):
+    rates = t.logs.groupBy("logger").agg(
+        F.avg(F.when(F.col("level") == "ERROR", 1).otherwise(0)).alias("error_rate"))
+    slow = index_percentiles(t.logs, ["logger"], "latency_ms", {"p99": 0.99}).select(
+        "logger", (F.col("p99") * 5).alias("latency_p99"))
+    return rounded(health.alerts(rates.join(slow, "logger"), ["logger"], health.REGION_RULES))
+
+
 @query("agg_alert_summary", "ev", f"""
 SELECT count(*) FILTER (level = 'critical') AS critical, count(*) FILTER (level = 'warning') AS warning,
   count(*) FILTER (level = 'info') AS info, count(*) AS total FROM ({ALERTS_SQL})""")
@@ -257,8 +286,10 @@ def _(t):
 def partition_lags(t):
     part = F.col("user_id") % 6
     latest = t.ev.groupBy(part.alias("partition")).agg(F.max("event_id").alias("latest_offset"))
-    done = t.likes.filter(F.col("user_id") % 6 < 5).groupBy(part.alias("partition")).agg(
-        (F.max("like_id") - 500).alias("committed_offset"))
+    # Clicks know five partitions only, so the sixth has no commit.
+    clicks = t.ev.filter(F.col("event_type") == "click")
+    done = clicks.groupBy((F.col("k") % 5).alias("partition")).agg(
+        (F.max("event_id") - 500).alias("committed_offset"))
     return health.consumer_lag(latest, done)
 
 
@@ -266,22 +297,22 @@ LAG_SQL = """
 SELECT partition, latest_offset, greatest(coalesce(c, 0), 0) AS committed_offset,
   greatest(0, latest_offset - greatest(coalesce(c, 0), 0)) AS lag
 FROM (SELECT user_id % 6 AS partition, max(event_id) AS latest_offset FROM ev GROUP BY 1)
-LEFT JOIN (SELECT user_id % 6 AS partition, max(like_id) - 500 AS c FROM likes
-  WHERE user_id % 6 < 5 GROUP BY 1) USING (partition)"""
+LEFT JOIN (SELECT k % 5 AS partition, max(event_id) - 500 AS c FROM ev
+  WHERE event_type = 'click' GROUP BY 1) USING (partition)"""
 
 
-@query("agg_consumer_lag", "ev likes", LAG_SQL)
+@query("agg_consumer_lag", "ev", LAG_SQL)
 def _(t):
     return partition_lags(t)
 
 
-@query("agg_total_lag", "ev likes",
+@query("agg_total_lag", "ev",
        f"SELECT CAST(sum(lag) AS BIGINT) AS total_lag, max(lag) AS max_lag FROM ({LAG_SQL})")
 def _(t):
     return health.total_lag(partition_lags(t))
 
 
-@query("agg_scale_advice", "ev likes", f"""
+@query("agg_scale_advice", "ev", f"""
 SELECT partition, lag AS max_lag, CASE WHEN lag > 1000 THEN 'up' WHEN lag < 500 THEN 'down' ELSE 'hold' END
   AS advice, CASE WHEN lag > 1000 THEN 8 WHEN lag < 500 THEN 5 ELSE 6 END::BIGINT AS target
 FROM ({LAG_SQL})""")

@@ -27,11 +27,12 @@ def after_mark(df: DataFrame, updated: str, key: str, mark: tuple[Column, Column
 
 
 def incremental(df: DataFrame, updated: str, key: str, mark: tuple[Column, Column],
-                limit: int, source_system: str) -> DataFrame:
+                limit: int, source_system: str, ingested_at: Column | None = None) -> DataFrame:
     """The next rows after the mark (updated, key), at most ``limit``."""
     newer = df.filter((F.col(updated) >= mark[0]) & after_mark(df, updated, key, mark))
-    return newer.orderBy(updated, key).limit(limit).withColumn(
-        "source_system", F.lit(source_system))
+    ingested = F.current_timestamp() if ingested_at is None else ingested_at
+    return newer.orderBy(updated, key).limit(limit).withColumns({
+        "source_system": F.lit(source_system), "ingested_at": ingested})
 
 
 def next_mark(batch: DataFrame, updated: str, key: str) -> DataFrame:
