@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from murmur.functions.columns import window_start
+from murmur.functions.columns import count_if, window_start
 from murmur.functions.ranking import top
 
 
@@ -52,18 +52,27 @@ def top_scores(scores: DataFrame, n: int = 10) -> DataFrame:
 def hopping_tags(tags: DataFrame, size_s: int = 1800, hop_s: int = 300) -> DataFrame:
     """Per hashtag and hopping window: mentions, distinct users, total engagement.
 
-    Rows are first merged to panes of one hop per (hashtag, user); only these panes are
-    copied to the windows they belong to, instead of every event. Batch only.
+    Events are first merged to panes of one hop per (hashtag, user). A user counts in a
+    window at the first of its panes there, and a pane is the first one in just those
+    windows that begin after the user's pane before it. So each pane tells by its
+    distance to that one how many windows it adds the user to; these numbers are summed
+    per (hashtag, pane), and only the sums are copied to the windows. Batch only.
     """
+    hops = size_s // hop_s
     pane = window_start(F.col("ts"), hop_s)
     panes = tags.groupBy("tag", "user_id", pane.alias("pane")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("engagement_score").alias("engagement"))
-    starts = F.sequence(F.col("pane") - (size_s - hop_s), F.col("pane"), F.lit(hop_s).cast("long"))
-    per_user = panes.withColumn("window_start", F.explode(starts)).groupBy(
-        "tag", "window_start", "user_id").agg(
-        F.sum("n").alias("n"), F.sum("engagement").alias("engagement"))
-    return per_user.groupBy("tag", "window_start").agg(
-        F.sum("n").alias("mention_count"), F.count("user_id").alias("unique_users"),
+    # A (hashtag, user) has at most one row per pane here.
+    before = F.lag("pane").over(Window.partitionBy("tag", "user_id").orderBy("pane"))
+    reach = F.least(F.coalesce((F.col("pane") - before) / hop_s, F.lit(hops)), F.lit(hops))
+    spread = panes.withColumn("reach", F.when(F.col("user_id").isNotNull(), reach))
+    per_pane = spread.groupBy("tag", "pane").agg(
+        F.sum("n").alias("n"), F.sum("engagement").alias("engagement"),
+        F.array(*[count_if(F.col("reach") > i) for i in range(hops)]).alias("new_users"))
+    return per_pane.select("tag", "pane", "n", "engagement", F.posexplode("new_users").alias(
+        "back", "users")).groupBy(
+        "tag", (F.col("pane") - F.col("back") * hop_s).alias("window_start")).agg(
+        F.sum("n").alias("mention_count"), F.sum("users").alias("unique_users"),
         F.sum("engagement").alias("total_engagement"))
 
 
