@@ -465,7 +465,7 @@ def _(t):
 
 @query("agg_recommend_topk", "ev", f"""
 SELECT user_id, count(*) AS n, string_agg(content_id, ',' ORDER BY rank) AS contents,
-  round(sum(total_score), 4) AS score_sum
+  round(sum(total_score), 6) AS score_sum
 FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY total_score DESC, content_id) AS rank
   FROM ({CONTENT_SCORE_SQL})) WHERE rank <= 50 GROUP BY user_id""")
 def _(t):
@@ -473,7 +473,7 @@ def _(t):
     return lists.select(
         "user_id", "n",
         joined(F.transform("items", lambda i: i.content_id.cast("string"))).alias("contents"),
-        F.round(F.aggregate("items", F.lit(0.0), lambda a, i: a + i.total_score), 4)
+        F.round(F.aggregate("items", F.lit(0.0), lambda a, i: a + i.total_score), 6)
         .alias("score_sum"))
 
 
