@@ -1,5 +1,7 @@
 """DuckDB SQL for the rows of the queries, where SQL can express them."""
 
+from murmur.llm.secrets import BASE, RULES
+
 ORACLES: dict[str, str] = {}
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -31,3 +33,62 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
   coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+ORACLES["op1_line_dedup"] = r"""
+WITH l AS (
+  SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line,
+    generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
+n AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS t FROM l WHERE trim(line, ' ') <> ''),
+w AS (
+  SELECT doc_id, t, lead(trim(line, ' '), 2) OVER o AS c, trim(line, ' ') AS a,
+    lead(trim(line, ' '), 1) OVER o AS b FROM n WINDOW o AS (PARTITION BY doc_id ORDER BY t)),
+r AS (
+  SELECT doc_id, t, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, t) AS place
+  FROM w WHERE c IS NOT NULL),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(t, t + 3)) AS t FROM r WHERE place > 1),
+lost AS (SELECT doc_id, i FROM gone JOIN n USING (doc_id, t)),
+kept AS (
+  SELECT doc_id, string_agg(line, chr(10) ORDER BY l.i) AS text, count(*) AS n
+  FROM l ANTI JOIN lost USING (doc_id, i) GROUP BY doc_id),
+total AS (SELECT doc_id, count(*) AS n_lines FROM l GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_lines - coalesce(n, 0), 0) AS n_removed,
+  CASE WHEN d.text IS NOT NULL THEN coalesce(kept.text, '') END AS text
+FROM documents d LEFT JOIN total USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
+def rule_sql(number: int) -> str:
+    """Spans of one rule: lengths of what lies between the matches and of the matches."""
+    rule = RULES[number]
+    pattern = rule.pattern.replace("'", "''")
+    return f"""
+SELECT doc_id, {number} AS number, unnest(list_transform(range(1, len(m) + 1), lambda i: {{
+    'start': list_sum(list_transform(p[1 : i], lambda x: len(x)))
+      + coalesce(list_sum(list_transform(m[1 : i - 1], lambda x: len(x))), 0),
+    'size': len(m[i]), 'checked': len(g[i])}})) AS s
+FROM (SELECT doc_id, regexp_split_to_array(text, '{pattern}') AS p,
+    regexp_extract_all(text, '{pattern}', 0) AS m,
+    regexp_extract_all(text, '{pattern}', {rule.group}) AS g FROM t)"""
+
+
+KINDS = ", ".join(f"'{r.kind}'" for r in RULES)
+LEAST = ", ".join(str(r.least) for r in RULES)
+ORACLES["op10_secrets"] = f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+raw AS ({" UNION ALL ".join(rule_sql(i) for i in range(len(RULES)))}),
+found AS (
+  SELECT doc_id, number, ([{KINDS}])[number + 1] AS kind, s.start AS start,
+    ([{KINDS}])[number + 1] || ':' || CAST(s.start AS BIGINT) || ':'
+      || CAST(s.start + s.size AS BIGINT) AS span
+  FROM raw WHERE s.checked >= ([{LEAST}])[number + 1]),
+per AS (
+  SELECT doc_id, string_agg(span, ',' ORDER BY start, number) AS spans,
+    string_agg(span, ',' ORDER BY start, number) FILTER (number < {len(BASE)}) AS base,
+    {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in BASE)}
+  FROM found GROUP BY doc_id)
+SELECT t.doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in BASE)},
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM t LEFT JOIN per USING (doc_id)
+"""

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmur.llm import decontaminate, language_id
+from murmur.llm import decontaminate, language_id, line_dedup, secrets
 from murmur.llm.common import fold, table
 from murmur.llm.oracles import ORACLES  # noqa: F401
 
@@ -19,6 +19,13 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the lines of windows that occurred before."""
+    return line_dedup.dedup(table(spark, folder, "documents")).select(
+        "doc_id", "n_lines", "n_removed", "text")
+
+
 @query
 def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document, learned from the rows that are not held out."""
@@ -37,3 +44,18 @@ def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query
+def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in every document."""
+    found = secrets.scan(table(spark, folder, "documents"))
+    spans = F.col("found")
+
+    def of(*kinds: str) -> Column:
+        return F.filter(spans, lambda s: s["kind"].isin(*kinds))
+
+    base = of(*secrets.BASE)
+    counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in secrets.BASE]
+    return found.select("doc_id", *counts, F.sha2(secrets.shown(base), 256).alias("base_sha256"),
+                        secrets.shown(spans).alias("spans"))
