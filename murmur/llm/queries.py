@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmur.llm import decontaminate, language_id, line_dedup, secrets
+from murmur.llm import decontaminate, language_id, line_dedup, near_dedup, secrets
 from murmur.llm.common import fold, table
 from murmur.llm.oracles import ORACLES  # noqa: F401
 
@@ -46,6 +46,13 @@ def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+@query
+def op4_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of near-duplicate documents."""
+    return near_dedup.groups(table(spark, folder, "documents")).select(
+        "doc_id", "n_shingles", "component_id", "kept")
+
+
 @query
 def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets in every document."""
