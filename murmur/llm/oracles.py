@@ -58,6 +58,22 @@ SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_lines - coalesce(n,
 FROM documents d LEFT JOIN total USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
+ORACLES["op7_nearest"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+p AS (
+  SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_sum(list_transform(
+    list_zip(q.e, c.e), lambda z: (z[1] - z[2]) * (z[1] - z[2])))) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
+r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank
+  FROM p)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
 
 def rule_sql(number: int) -> str:
     """Spans of one rule: lengths of what lies between the matches and of the matches."""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmur.llm import decontaminate, language_id, line_dedup, near_dedup, secrets
+from murmur.llm import decontaminate, language_id, line_dedup, near_dedup, nearest, secrets
 from murmur.llm.common import fold, table
 from murmur.llm.oracles import ORACLES  # noqa: F401
 
@@ -53,6 +53,14 @@ def op4_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id", "kept")
 
 
+@query
+def op7_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth vector."""
+    rows = table(spark, folder, "embeddings").select(
+        F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    return nearest.nearest(rows.where("id % 100 = 0"), rows)
+
+
 @query
 def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets in every document."""
