@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmur.llm import decontaminate, language_id, line_dedup, near_dedup, nearest, secrets
+from murmur.llm import decontaminate, language_id, line_dedup, lm_scoring, near_dedup, nearest, secrets
 from murmur.llm.common import fold, table
 from murmur.llm.oracles import ORACLES  # noqa: F401
 
@@ -61,6 +61,15 @@ def op7_nearest(spark: SparkSession, folder: str) -> DataFrame:
     return nearest.nearest(rows.where("id % 100 = 0"), rows)
 
 
+@query
+def op8_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Log10 probability of every document under a deleted-interpolation bigram model."""
+    part = fold(F.col("doc_id"), 10)
+    found = lm_scoring.score(table(spark, folder, "documents"), part > 0, part == 1)
+    return found.select("doc_id", (part == 0).alias("held_out"), "n_tokens", "n_known",
+                        "train_tokens", "base_score", "score")
+
+
 @query
 def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets in every document."""
