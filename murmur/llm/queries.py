@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmur.llm import decontaminate, language_id, line_dedup, lm_scoring, near_dedup, nearest, secrets
+from murmur.llm import (
+    decontaminate, language_id, line_dedup, lm_scoring, near_dedup, nearest, secrets, toxicity)
 from murmur.llm.common import fold, table
 from murmur.llm.oracles import ORACLES  # noqa: F401
 
@@ -53,6 +54,17 @@ def op4_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id", "kept")
 
 
+@query
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, learned from the labelled rows that are not held out."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    part = fold(F.col("doc_id"), 5)
+    model = toxicity.learn(docs, labels, part > 0, part == 1)
+    return toxicity.score(docs, model).select(
+        "doc_id", (part == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query
 def op7_nearest(spark: SparkSession, folder: str) -> DataFrame:
     """The ten nearest vectors of every hundredth vector."""
