@@ -39,8 +39,9 @@ COST_UNREAD = 7.0  # of a mark that stands for no letter
 
 SAMPLE_ROWS = 20_000
 HASH_RANGE = 1 << 30
-#: Word beginnings that are features, texts that must hold one, smoothing, least share kept.
-BEGINNINGS = range(3, 7)
+#: Word beginnings that are features, and distinct words that must share one.
+BEGINNINGS, LEAST_WORDS = range(3, 7), 3
+#: Toxic texts that must hold a feature, smoothing, least share kept.
 LEAST_TEXTS, PRIOR_TEXTS, LEAST_SHARE = 3, 5.0, 0.3
 
 #: Characters of the model: a to z, any other letter, the end of a word.
@@ -177,10 +178,12 @@ def disguised(token: str) -> bool:
     return INNER.search(token) is not None
 
 
-def features(words: list[str]) -> Iterator[list[str]]:
-    """The features of each word: itself and its beginnings."""
-    for word in words:
-        yield ["=" + word, *(word[:n] for n in BEGINNINGS if len(word) >= n)]
+def features(word: str) -> list[str]:
+    """The word itself and its beginnings."""
+    return ["=" + word, *(word[:n] for n in BEGINNINGS if len(word) >= n)]
+
+
+NAMES = ("some", "top", "total", "size")
 
 
 @dataclass
@@ -190,22 +193,17 @@ class Model:
     weights: list[float]  # of 1 and the evidence; the score's log-odds
 
 
-#: strongest feature, log(1 + sum of all), log(1 + words)
-Evidence = tuple[float, float, float]
-
-
-def evidence(words: list[str], odds: dict[str, float]) -> Evidence:
+def evidence(words: list[str], odds: dict[str, float]) -> tuple[float, ...]:
+    """1, strongest feature, log(1 + sum of all), log(1 + words); all 0 without any feature."""
     top = total = 0.0
     distinct = set(words)
     for word in distinct:
-        most = odds.get("=" + word, 0.0)
-        for n in BEGINNINGS:
-            if n > len(word):
-                break
-            most = max(most, odds.get(word[:n], 0.0))
+        most = max(odds.get(f, 0.0) for f in features(word))
         top = max(top, most)
         total += most
-    return top, math.log1p(total), math.log1p(len(distinct))
+    if not top:
+        return (0.0,) * len(NAMES)
+    return 1.0, top, math.log1p(total), math.log1p(len(distinct))
 
 
 def fitted(rows: list[tuple[float, ...]]) -> list[float]:
@@ -240,19 +238,23 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column, calibrate: Column)
         channel = Channel(shared.value)
         for batch in batches:
             for text, toxic in zip(batch.column(0), batch.column(1)):
-                own = sorted({f for fs in features(channel.words(text.as_py())) for f in fs})
+                own = [(f, w) for w in set(channel.words(text.as_py())) for f in features(w)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(own, pa.string()), pa.array([toxic.as_py()] * len(own), pa.int32())],
-                    ["feature", "toxic"])
+                    [pa.array([f for f, _ in own], pa.string()),
+                     pa.array([w for _, w in own], pa.string()),
+                     pa.array([toxic.as_py()] * len(own), pa.int32())],
+                    ["feature", "word", "toxic"])
 
     early, late = sample.where(~F.col("late")), sample.where("late")
     a, n = F.sum("toxic"), F.count("*")
     base = early.agg(F.avg("toxic")).first()[0] or 0.0
-    share = (a + PRIOR_TEXTS * base) / (n + PRIOR_TEXTS)
+    share = (a + PRIOR_TEXTS * base) / (F.sum("n") + PRIOR_TEXTS)
     shares = early.select("text", "toxic").mapInArrow(
-        held, "feature string, toxic int").groupBy("feature").agg(
-        a.alias("a"), share.alias("share")).where(
-        (F.col("a") >= LEAST_TEXTS) & (F.col("share") >= LEAST_SHARE) & (F.col("share") < 1))
+        held, "feature string, word string, toxic int").groupBy("feature", "word").agg(
+        a.alias("toxic"), n.alias("n")).groupBy("feature").agg(
+        a.alias("a"), share.alias("share"), n.alias("words")).where(
+        (F.col("feature").startswith("=") | (F.col("words") >= LEAST_WORDS))
+        & (F.col("a") >= LEAST_TEXTS) & (F.col("share") >= LEAST_SHARE) & (F.col("share") < 1))
     odds = {r["feature"]: math.log(r["share"] / (1 - r["share"])) - math.log(base / (1 - base))
             for r in shares.select("feature", "share").collect()} if 0 < base < 1 else {}
     model = Model(characters, {f: o for f, o in odds.items() if o > 0}, [])
@@ -261,9 +263,6 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column, calibrate: Column)
     return model
 
 
-NAMES = ("top", "total", "size")
-
-
 def evidence_of(rows: DataFrame, model: Model) -> DataFrame:
     """The rows' columns after the text, then the evidence."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
