@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from murmur.llm import (
-    decontaminate, language_id, line_dedup, lm_scoring, near_dedup, nearest, secrets, toxicity)
+    decontaminate, language_id, licenses, line_dedup, lm_scoring, near_dedup, nearest,
+    secrets, toxicity)
 from murmur.llm.common import fold, table
 from murmur.llm.oracles import ORACLES  # noqa: F401
 
@@ -82,6 +83,17 @@ def op8_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
                         "train_tokens", "base_score", "score")
 
 
+@query
+def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """Licences in every document."""
+    found = licenses.scan(table(spark, folder, "documents"))
+    places = F.transform("found", lambda x: F.concat_ws(":", x["number"].cast("string"), x["family"]))
+    return found.select(
+        "doc_id", "n_paragraphs", F.size("found").cast("long").alias("n_found"),
+        F.concat_ws(",", F.array_sort(F.array_distinct("found.family"))).alias("families"),
+        F.concat_ws(",", places).alias("places"))
+
+
 @query
 def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets in every document."""
