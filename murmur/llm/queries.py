@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from murmur.llm import (
-    decontaminate, language_id, licenses, line_dedup, lm_scoring, near_dedup, nearest,
-    secrets, toxicity)
+    decontaminate, language_id, licenses, line_dedup, lm_scoring, mixing, near_dedup,
+    nearest, secrets, toxicity)
 from murmur.llm.common import fold, table
 from murmur.llm.oracles import ORACLES  # noqa: F401
 
@@ -66,6 +66,15 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@query
+def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Rates and copies of the documents for the target mix of domains."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    found = mixing.mix(docs, mixing.domains_of(labels), mixing.TARGETS)
+    shares = [F.col("p")[i].alias(f"p_{d}") for i, d in enumerate(sorted(mixing.TARGETS))]
+    return found.select("row.doc_id", "n_tokens", *shares, "rate", "copies")
+
+
 @query
 def op7_nearest(spark: SparkSession, folder: str) -> DataFrame:
     """The ten nearest vectors of every hundredth vector."""
