@@ -75,6 +75,12 @@ MATCH_HIGH_SCORE = 0.7
 
 # Errors.
 RECOVERABLE_JSON_HINTS = ["emoji", "optional_metadata", "tags", "extra_data"]
+ERROR_BASES = {
+    "ConnectionResetError": "ConnectionError", "ConnectionRefusedError": "ConnectionError",
+    "ConnectionAbortedError": "ConnectionError", "BrokenPipeError": "ConnectionError",
+    "UnicodeError": "ValueError", "UnicodeDecodeError": "ValueError",
+    "UnicodeEncodeError": "ValueError", "UnicodeTranslateError": "ValueError",
+}
 TRANSIENT_ERRORS = ["KafkaTimeoutError", "RequestTimedOutError", "ConnectionError", "OSError"]
 PERMANENT_ERRORS = [
     "AuthenticationFailedError", "TopicAuthorizationFailedError", "ValueError", "TypeError"]

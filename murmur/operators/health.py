@@ -14,10 +14,11 @@ def counter_rates(samples: DataFrame, keys: list[str], counters: list[str],
                   chunk: Column | None = None) -> DataFrame:
     """Per-second growth of counters since the sample before; never negative.
 
-    samples: keys, ts, counters. First samples and repeated times give no rate.
+    samples: keys, ts, event_id, counters; samples of one time are ordered by event_id.
+    First samples and repeated times give no rate.
     """
     prior = scans.scan(
-        samples, keys, ["ts"], chunk if chunk is not None else scans.by_time("ts"),
+        samples, keys, ["ts", "event_id"], chunk if chunk is not None else scans.by_time("ts"),
         previous={f"p_{c}": c for c in counters} | {"p_ts": "ts"})
     seconds = (F.unix_micros("ts") - F.unix_micros("p_ts")) / F.lit(1e6)
     timed = prior.withColumn("seconds", seconds).filter(F.col("seconds") > 0)

@@ -97,10 +97,12 @@ def component_volume(logs: DataFrame) -> DataFrame:
 
 
 def trace_search(logs: DataFrame, trace_id: str) -> DataFrame:
-    """Rows of one trace, by field or by mention in the message, in time order."""
-    found = (F.col("trace_id") == trace_id) | F.contains("message", F.lit(trace_id))
-    exact = F.coalesce(log_field("trace_id", "trace_id"), F.lit(trace_id)) == trace_id
-    return logs.filter(found & exact).orderBy("ts", "event_id")
+    """Rows of one trace in time order: by their own field, by the field of a JSON message,
+    or, if the message has no such field, by a mention in it."""
+    inner = F.get_json_object("message", "$.trace_id")
+    mention = inner.isNull() & F.contains("message", F.lit(trace_id))
+    found = (F.col("trace_id") == trace_id) | (inner == trace_id) | mention
+    return logs.filter(F.coalesce(found, F.lit(False))).orderBy("ts", "event_id")
 
 
 def component_logs(logs: DataFrame, component: str, n: int = 10) -> DataFrame:

@@ -82,13 +82,12 @@ def version_extras(poll: str = "poll_data", media: str = "media") -> Column:
 def with_headers(df: DataFrame, headers: str = "headers") -> DataFrame:
     """Read trace context, feature flags and the extra processing time from headers.
 
-    ``headers`` is array<struct<key, value>>. The trace needs both of its ids and the
-    flags need a user segment.
+    ``headers`` is array<struct<key, value>>; of a repeated header the last one counts. The
+    trace needs both of its ids and the flags need a user segment.
     """
-    h = F.map_from_entries(F.col(headers))
-
     def at(key: str) -> Column:
-        return F.nullif(F.element_at(h, F.lit(key)), F.lit(""))
+        own = F.filter(headers, lambda h: h["key"] == key)
+        return F.nullif(F.try_element_at(own, F.lit(-1))["value"], F.lit(""))
 
     traced = at("trace-id").isNotNull() & at("span-id").isNotNull()
     flags = F.when(at("user-segment").isNotNull(),

@@ -112,11 +112,14 @@ def content_scores(features: DataFrame, as_of_s: float, history: int = 10) -> Da
     """State per (user, content) after the last event.
 
     Needs user_id, content_id, event_id, ts_s, engagement_weight, virality_signal. The
-    history of an event includes the event itself.
+    history of an event includes the event itself. It is kept by second: of the events of
+    one second the last counts, though each is an update.
     """
     keys = ["user_id", "content_id"]
     now = F.lit(float(as_of_s))
-    recent = top_per_key(features, keys, [F.desc("ts_s"), F.desc("event_id")], history)
+    by_second = newest_per_key(features.withColumn("second", F.floor("ts_s")),
+                               [*keys, "second"], ["ts_s", "event_id"])
+    recent = top_per_key(by_second, keys, [F.desc("ts_s"), F.desc("event_id")], history)
     decay = F.exp(F.lit(-0.1) * (now - F.col("ts_s")) / F.lit(86400.0))
     scored = recent.groupBy(*keys).agg(
         (F.sum(F.col("engagement_weight") * decay) / F.count(F.lit(1))).alias("past"),

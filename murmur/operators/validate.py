@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from murmur import fixed_values as fv
 from murmur.functions import text
-from murmur.functions.columns import any_hit, first_match, is_blank
+from murmur.functions.columns import any_hit, first_match, is_blank, lookup
 
 
 def with_required(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -27,10 +27,11 @@ def interaction_reason(user: str, post: str, kind: str, ts_s: str) -> Column:
         "Valid")
 
 
-def split_by_reason(df: DataFrame, reason: str = "reason") -> tuple[DataFrame, DataFrame]:
-    """Accepted rows without the reason, and rejected rows with it."""
+def with_part(df: DataFrame, reason: str = "reason") -> DataFrame:
+    """Adds ``part``, valid or invalid, in one pass; accepted rows lose their reason."""
     ok = F.col(reason) == "Valid"
-    return df.filter(ok).drop(reason), df.filter(~ok)
+    return df.withColumns({"part": F.when(ok, "valid").otherwise("invalid"),
+                           reason: F.when(~ok, F.col(reason))})
 
 
 def valid_engagements(df: DataFrame, stored: DataFrame, kinds: list[str]) -> DataFrame:
@@ -128,7 +129,9 @@ def range_check(rate: Column) -> Column:
 
 
 def error_action(error_class: Column, message: Column, attempts: Column) -> Column:
-    """What to do with a failed record: skip, retry, dlq or fatal."""
+    """What to do with a failed record: skip, retry, dlq or fatal; a subclass is treated as
+    the class it belongs to."""
+    error_class = F.coalesce(lookup(error_class, fv.ERROR_BASES, None), error_class)
     return first_match([
         (error_class == "JSONDecodeError",
          F.when(any_hit(F.lower(message), fv.RECOVERABLE_JSON_HINTS), "skip").otherwise("dlq")),

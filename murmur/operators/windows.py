@@ -13,8 +13,10 @@ from murmur.functions.columns import count_if, window_start
 from murmur.functions.ranking import top
 
 
-def tumbling_counts(df: DataFrame, key: str, seconds: int, ts: str = "ts") -> DataFrame:
-    return df.groupBy(key, window_start(F.col(ts), seconds).alias("window_start")).agg(
+def tumbling_counts(df: DataFrame, keys: str | list[str], seconds: int,
+                    ts: str = "ts") -> DataFrame:
+    keys = [keys] if isinstance(keys, str) else keys
+    return df.groupBy(*keys, window_start(F.col(ts), seconds).alias("window_start")).agg(
         F.count(F.lit(1)).alias("n"))
 
 
@@ -58,10 +60,15 @@ def hopping_tags(tags: DataFrame, size_s: int = 1800, hop_s: int = 300) -> DataF
     distance to that one how many windows it adds the user to; these numbers are summed
     per (hashtag, pane), and only the sums are copied to the windows. Batch only.
     """
-    hops = size_s // hop_s
     pane = window_start(F.col("ts"), hop_s)
     panes = tags.groupBy("tag", "user_id", pane.alias("pane")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("engagement_score").alias("engagement"))
+    return windows_of_panes(panes, size_s, hop_s)
+
+
+def windows_of_panes(panes: DataFrame, size_s: int = 1800, hop_s: int = 300) -> DataFrame:
+    """The windows of ``hopping_tags`` from one row per (hashtag, user, pane)."""
+    hops = size_s // hop_s
     # A (hashtag, user) has at most one row per pane here.
     before = F.lag("pane").over(Window.partitionBy("tag", "user_id").orderBy("pane"))
     reach = F.least(F.coalesce((F.col("pane") - before) / hop_s, F.lit(hops)), F.lit(hops))

@@ -233,10 +233,8 @@ SELECT tag, s // 3600 * 3600 AS window_start, count(*) AS n FROM (
   FROM posts) GROUP BY 1, 2""")
 def _(t):
     tags = messages.hashtag_occurrences(t.posts)
-    kinds = ("text", "image", "video", "link")
-    parts = [windows.tumbling_counts(tags.filter(F.col("media_type") == kind), "tag", 3600)
-             for kind in kinds]
-    return windows.merge_partials(parts, "tag")
+    parts = windows.tumbling_counts(tags, ["media_type", "tag"], 3600)
+    return windows.merge_partials([parts], "tag")
 
 
 DECAY_SQL = """
@@ -303,16 +301,16 @@ def _(t):
     return rounded(trending.leaderboard_stats(board(t)))
 
 
-@query("agg_table_stats", "profiles interactions", """
-SELECT 'user_profiles' AS table_name, 'total' AS measure, count(*)::DOUBLE AS value FROM profiles
-UNION ALL SELECT 'user_profiles', 'avg_followers', round(avg(floor(balance)), 4) FROM profiles
-UNION ALL SELECT 'user_profiles', 'avg_engagement_rate', round(avg(balance / 10000), 4) FROM profiles
+@query("agg_table_stats", "users interactions", """
+SELECT 'user_profiles' AS table_name, 'total' AS measure, count(*)::DOUBLE AS value FROM users
+UNION ALL SELECT 'user_profiles', 'avg_followers', round(avg(floor(balance)), 4) FROM users
+UNION ALL SELECT 'user_profiles', 'avg_engagement_rate', round(avg(balance / 10000), 4) FROM users
 UNION ALL SELECT 'content_metadata', 'total', count(*) FROM part
 UNION ALL SELECT 'content_metadata', 'avg_views', round(avg((p_size - 1) * 1000), 4) FROM part
 UNION ALL SELECT 'user_interactions', 'total', count(*) FROM interactions""")
 def _(t):
     return engagement.table_stats({
-        "user_profiles": (feature_users(t), {"avg_followers": "follower_count",
+        "user_profiles": (feature_users(t.users), {"avg_followers": "follower_count",
                                              "avg_engagement_rate": "engagement_rate"}),
         "content_metadata": (feature_contents(t), {"avg_views": "view_count"}),
         "user_interactions": (t.interactions, {}),

@@ -80,9 +80,15 @@ def _(t):
 
 
 @query("flt_trace_search", "logs", f"""
-SELECT event_id, {SEC} AS ts_s FROM logs WHERE trace_id = 'trace-42'""")
-def _(t):
-    return logs.trace_search(json_logs(t), "trace-42").select(
+SELECT event_id, {SEC} AS ts_s FROM logs
+WHERE trace_id = 'trace-42' OR (event_id % 2 = 0 AND event_id % 25 = 0)""")
+def _(t):
+    """Some rows of other traces mention the wanted one in a plain message."""
+    rows = json_logs(t)
+    mention = (F.col("event_id") % 2 == 0) & (F.col("event_id") % 25 == 0)
+    rows = rows.withColumn("message", F.when(mention, "retry of trace-42").otherwise(
+        F.col("message")))
+    return logs.trace_search(rows, "trace-42").select(
         "event_id", F.unix_seconds("ts").alias("ts_s"))
 
 
@@ -155,7 +161,7 @@ SELECT user_id, event_type, epoch_us(ts) AS ts_us, round(greatest(0.0::DOUBLE, (
   round(greatest(0.0::DOUBLE, (k - p_k) / s), 6) AS k_rate
 FROM (SELECT *, (epoch_us(ts) - epoch_us(p_ts)) / 1e6::DOUBLE AS s FROM (
   SELECT *, lag(value) OVER w AS p_value, lag(k) OVER w AS p_k, lag(ts) OVER w AS p_ts FROM ev
-  WINDOW w AS (PARTITION BY user_id, event_type ORDER BY ts))) WHERE s > 0""")
+  WINDOW w AS (PARTITION BY user_id, event_type ORDER BY ts, event_id))) WHERE s > 0""")
 def _(t):
     rates = health.counter_rates(t.ev, ["user_id", "event_type"], ["value", "k"])
     return rounded(rates.withColumn("ts_us", F.unix_micros("ts")).drop("ts"))
@@ -612,8 +618,9 @@ ACTION_SQL = f"""
 SELECT event_id, CASE WHEN attempts = 0 THEN NULL
     WHEN error_class = 'JSONDecodeError' THEN
       CASE WHEN error_message IN ('bad Emoji', 'tags missing') THEN 'skip' ELSE 'dlq' END
-    WHEN error_class IN ('KeyError', 'ValueError') THEN CASE WHEN attempts < 3 THEN 'retry' ELSE 'dlq' END
-    WHEN error_class = 'ConnectionError' THEN 'retry' WHEN error_class = 'MemoryError' THEN 'fatal'
+    WHEN error_class IN ('KeyError', 'ValueError', 'UnicodeDecodeError')
+      THEN CASE WHEN attempts < 3 THEN 'retry' ELSE 'dlq' END
+    WHEN error_class IN ('ConnectionError', 'ConnectionResetError') THEN 'retry' WHEN error_class = 'MemoryError' THEN 'fatal'
     ELSE 'dlq' END AS action FROM ({FAILURES_SQL})"""
 
 

@@ -83,10 +83,7 @@ SELECT 'valid' AS part, event_id, CAST(NULL AS VARCHAR) AS reason FROM ({REASON_
   WHERE reason = 'Valid'
 UNION ALL SELECT 'invalid', event_id, reason FROM ({REASON_SQL}) WHERE reason <> 'Valid'""")
 def _(t):
-    good, bad = validate.split_by_reason(reasons(t))
-    return (good.select(F.lit("valid").alias("part"), "event_id",
-                        F.lit(None).cast("string").alias("reason"))
-            .unionByName(bad.select(F.lit("invalid").alias("part"), "event_id", "reason")))
+    return validate.with_part(reasons(t)).select("part", "event_id", "reason")
 
 
 @query("flt_engagement_valid", "interactions likes", """
@@ -341,10 +338,10 @@ def _(t):
         "engagement_score", "recency_factor", "user_reputation", "base_weight")
 
 
-def feature_users(t):
+def feature_users(people):
     interests = F.when(F.col("tier") != "BUILDING", F.array("tier", "city")).otherwise(
         F.array().cast("array<string>"))
-    return t.profiles.select(
+    return people.select(
         "user_id", F.floor("balance").alias("follower_count"),
         (F.col("age") * 100).alias("following_count"),
         (F.col("user_id") % 800).alias("account_age_days"),
@@ -358,7 +355,7 @@ SELECT user_id, least(floor(balance) / 10000, 1.0::DOUBLE) AS follower_count_nor
   least((user_id % 800) / 365.0::DOUBLE, 1.0::DOUBLE) AS account_maturity,
   balance / 10000 AS engagement_rate,
   CASE WHEN tier <> 'BUILDING' THEN 2::BIGINT ELSE 0::BIGINT END AS interest_count,
-  CASE WHEN tier <> 'BUILDING' THEN 1::BIGINT ELSE 0::BIGINT END AS has_interests FROM profiles"""
+  CASE WHEN tier <> 'BUILDING' THEN 1::BIGINT ELSE 0::BIGINT END AS has_interests FROM """
 
 
 def rounded(df, digits=6):
@@ -366,13 +363,13 @@ def rounded(df, digits=6):
                        for c, kind in df.dtypes])
 
 
-@query("map_user_features", "profiles", f"""
+@query("map_user_features", "users", f"""
 SELECT user_id, round(follower_count_normalized, 6) AS follower_count_normalized,
   round(following_ratio, 6) AS following_ratio, round(account_maturity, 6) AS account_maturity,
   round(engagement_rate, 6) AS engagement_rate, interest_count, has_interests
-FROM ({FEATURE_USERS_SQL})""")
+FROM ({FEATURE_USERS_SQL} users)""")
 def _(t):
-    return rounded(scoring.user_features(feature_users(t)))
+    return rounded(scoring.user_features(feature_users(t.users)))
 
 
 PART_CATEGORY = {"ECONOMY": "technology", "PROMO": "news", "STANDARD": "sports",
@@ -435,8 +432,10 @@ def _(t):
 
 CONTENT_SCORE_SQL = f"""
 WITH f AS ({FEATURES_SQL}),
+u AS (SELECT *, count(*) OVER (PARTITION BY user_id, content_id) AS update_count FROM f
+  QUALIFY row_number() OVER (PARTITION BY user_id, content_id, ts_s ORDER BY event_id DESC) = 1),
 r AS (SELECT *, row_number() OVER (PARTITION BY user_id, content_id ORDER BY ts_s DESC, event_id DESC)
-    AS rn, count(*) OVER (PARTITION BY user_id, content_id) AS update_count FROM f),
+    AS rn FROM u),
 g AS (SELECT user_id, content_id, max(update_count) AS update_count,
     sum(engagement_weight * exp(-0.1::DOUBLE * ({AS_OF_S} - ts_s) / 86400.0::DOUBLE)) / count(*) AS past,
     max(CASE WHEN rn = 1 THEN engagement_weight END) AS w,
@@ -486,12 +485,12 @@ SELECT i.event_id, i.user_id, i.content_id,
   round(u.engagement_rate, 6) AS user_engagement, round(u.account_maturity, 6) AS user_maturity,
   round(c.engagement_score_normalized, 6) AS content_engagement,
   round(c.view_count_log, 6) AS content_views_log, c.category_encoded AS content_category
-FROM interactions i LEFT JOIN ({FEATURE_USERS_SQL}) u USING (user_id)
+FROM interactions i LEFT JOIN ({FEATURE_USERS_SQL} profiles) u USING (user_id)
 LEFT JOIN ({FEATURE_CONTENTS_SQL}) c USING (content_id)""")
 def _(t):
     inter = t.interactions.select("event_id", "user_id", "content_id", "interaction_type",
                                   F.col("duration_s").alias("duration_seconds"))
-    out = scoring.with_feature_lookup(inter, scoring.user_features(feature_users(t)),
+    out = scoring.with_feature_lookup(inter, scoring.user_features(feature_users(t.profiles)),
                                       scoring.content_features(feature_contents(t)))
     return rounded(out.drop("interaction_type", "duration_seconds"))
 
@@ -522,10 +521,10 @@ def _(t):
     })
 
 
-def versioned_profiles(t):
+def versioned_users(t):
     version = lookup(F.col("tier"), {"AUTOMOBILE": "v1", "BUILDING": "v2", "FURNITURE": "v3",
                                      "HOUSEHOLD": "v9"}, "v3")
-    return t.profiles.select(
+    return t.users.select(
         "user_id", F.when(F.col("age") > 20, version).alias("schema_version"),
         F.when(F.col("age") % 2 == 0, F.concat(F.lit("http://a/"), F.col("user_id")))
         .alias("avatar_url"),
@@ -536,10 +535,10 @@ def versioned_profiles(t):
 VERSIONED_SQL = """
 SELECT user_id, coalesce(CASE WHEN age > 20 THEN CASE tier WHEN 'AUTOMOBILE' THEN 'v1'
   WHEN 'BUILDING' THEN 'v2' WHEN 'FURNITURE' THEN 'v3' WHEN 'HOUSEHOLD' THEN 'v9' ELSE 'v3' END END,
-  'v1') AS version, age FROM profiles"""
+  'v1') AS version, age FROM users"""
 
 
-@query("map_version_normalize", "profiles", f"""
+@query("map_version_normalize", "users", f"""
 SELECT user_id, version,
   CASE WHEN version IN ('v2', 'v3') AND age % 2 = 0 THEN 'http://a/' || user_id END AS avatar_url,
   CASE WHEN version = 'v3' AND age % 3 = 0 THEN 'gold' END AS premium_badge,
@@ -548,7 +547,7 @@ SELECT user_id, version,
   CASE WHEN version NOT IN ('v1', 'v2', 'v3') THEN 'Unknown schema version: ' || version END AS error
 FROM ({VERSIONED_SQL})""")
 def _(t):
-    return messages.normalize_versions(versioned_profiles(t))
+    return messages.normalize_versions(versioned_users(t))
 
 
 @query("map_version_detect", "posts", """
@@ -589,7 +588,8 @@ def _(t):
     headers = F.array(
         header("trace-id", F.when(k % 4 != 0, F.concat(F.lit("t"), k)).otherwise(F.lit(""))),
         header("span-id", F.when(k % 6 != 0, F.concat(F.lit("s"), F.col("event_id")))),
-        header("service-name", F.col("event_type")), header("feature-flags", flags),
+        header("service-name", F.lit("stale")), header("service-name", F.col("event_type")),
+        header("feature-flags", flags),
         header("user-segment", F.when(k % 5 != 0, F.lit("beta"))))
     out = messages.with_headers(t.ev.select("event_id", headers.alias("headers")))
     return out.select("event_id", "trace_id", "span_id", "service_name", "user_segment",
@@ -668,7 +668,7 @@ def _(t):
 def failures(t):
     """Failed records: class and message by attributes of the event."""
     cls = F.element_at(F.array(*[F.lit(c) for c in FAILURE_CLASSES]),
-                       (F.col("k") % 8 + 1).cast("int"))
+                       (F.col("k") % len(FAILURE_CLASSES) + 1).cast("int"))
     msg = F.element_at(F.array(*[F.lit(m) for m in FAILURE_MESSAGES]),
                        (F.col("k") % 7 + 1).cast("int"))
     return t.ev.select("event_id", "user_id", "ts", cls.alias("error_class"),
@@ -676,11 +676,12 @@ def failures(t):
 
 
 FAILURE_CLASSES = ["JSONDecodeError", "KeyError", "ValueError", "ConnectionError", "MemoryError",
-                   "RuntimeError", "OSError", "AuthenticationFailedError"]
+                   "RuntimeError", "OSError", "AuthenticationFailedError",
+                   "ConnectionResetError", "UnicodeDecodeError"]
 FAILURE_MESSAGES = ["bad Emoji", "Timeout of broker", "Permission denied", "ServiceUnavailable: x",
                     "RateLimitExceeded", "tags missing", "other"]
 FAILURES_SQL = f"""
-SELECT event_id, user_id, ts, ([{sql_list(FAILURE_CLASSES)}])[k % 8 + 1] AS error_class,
+SELECT event_id, user_id, ts, ([{sql_list(FAILURE_CLASSES)}])[k % {len(FAILURE_CLASSES)} + 1] AS error_class,
   ([{sql_list(FAILURE_MESSAGES)}])[k % 7 + 1] AS error_message, k % 8 AS attempts FROM ev"""
 
 
@@ -695,9 +696,9 @@ SELECT event_id, action, action = 'skip' OR (action = 'retry' AND attempts > 5)
 FROM (SELECT *, CASE
     WHEN error_class = 'JSONDecodeError' THEN
       CASE WHEN error_message IN ('bad Emoji', 'tags missing') THEN 'skip' ELSE 'dlq' END
-    WHEN error_class IN ('KeyError', 'ValueError') THEN
+    WHEN error_class IN ('KeyError', 'ValueError', 'UnicodeDecodeError') THEN
       CASE WHEN attempts < 3 THEN 'retry' ELSE 'dlq' END
-    WHEN error_class = 'ConnectionError' THEN 'retry' WHEN error_class = 'MemoryError' THEN 'fatal'
+    WHEN error_class IN ('ConnectionError', 'ConnectionResetError') THEN 'retry' WHEN error_class = 'MemoryError' THEN 'fatal'
     ELSE 'dlq' END AS action FROM ({FAILURES_SQL}))""")
 def _(t):
     cls, msg, n = F.col("error_class"), F.col("error_message"), F.col("attempts")

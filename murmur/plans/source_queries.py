@@ -12,25 +12,25 @@ SEC = "epoch_us(ts) // 1000000"
 
 
 def raw_likes(t):
-    """Likes as JSON text; one in a hundred is cut off."""
+    """Likes as JSON text; one in a hundred is cut off, one in a hundred is null."""
     body = F.to_json(F.struct("like_id", "post_id", "user_id",
                               F.unix_millis("ts").alias("timestamp")))
     cut = F.col("like_id") % 100 == 7
     return t.likes.withColumn("body", body).select(
         F.col("like_id").alias("offset"),
-        F.when(cut, F.expr("left(body, length(body) - 5)")).otherwise(F.col("body"))
-        .alias("value"))
+        F.when(cut, F.expr("left(body, length(body) - 5)")).when(
+            F.col("like_id") % 100 != 9, F.col("body")).alias("value"))
 
 
 @query("src_json_events", "likes", f"""
 SELECT like_id AS "offset", CASE WHEN ok THEN like_id END AS like_id, CASE WHEN ok THEN post_id END AS post_id,
   CASE WHEN ok THEN user_id END AS user_id, CASE WHEN ok THEN {SEC} END AS ts_s, NOT ok AS is_error
-FROM (SELECT *, like_id % 100 <> 7 AS ok FROM likes)""")
+FROM (SELECT *, like_id % 100 NOT IN (7, 9) AS ok FROM likes)""")
 def _(t):
     rows = messages.decode(raw_likes(t), schemas.LIKE)
     return rows.select("offset", "like_id", "post_id", "user_id",
                        F.unix_seconds("ts").alias("ts_s"),
-                       F.col("error_value").isNotNull().alias("is_error"))
+                       F.col("is_bad").alias("is_error"))
 
 
 @query("src_multi_topic", "posts likes comments", """

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from murmur.operators import messages as maps
 from murmur.operators import moderation, tables, trending
+from murmur.operators import windows as batch_windows
 from murmur.plans.registry import query
 from murmur.plans.row_queries import ACTION_SQL, CLEAN_SPAM_SQL, rounded
 from murmur.plans.table_queries import COMPACT_SQL, COPIES_SQL, copies
@@ -20,11 +21,14 @@ from murmur.plans.views import (
 from murmur.schemas import TABLE_EVENT
 from murmur.session import shared_dir
 from murmur.sources.messages import file_stream
-from murmur.streaming import runner, sinks, stateful, windows
+from murmur.streaming import runner, sinks, windows
 from murmur.streaming.resolve import LastWriteWins
 
 SEC = "epoch_us(ts) // 1000000"
 
+#: Batches after which a kept table is folded into one snapshot.
+FOLD_EVERY = 20
+
 
 def table_path(t: Tables, name: str) -> str:
     """A pattern that matches the table alone, be it a file or a folder of files.
@@ -75,14 +79,14 @@ FROM (SELECT *, unnest(generate_series({SEC} // 300 * 300 - 1500, {SEC} // 300 *
 
 @query("st_hopping", "posts", HOPS_SQL)
 def _(t):
-    """All windows, open ones included: update mode into a table."""
-    users = windows.hopping_users(tags_of(posts_from(events(t))), "30 minutes", "5 minutes",
-                                  "5 minutes")
+    """All windows, open ones included: panes in update mode into a table, and the windows
+    are filled from them when it is read."""
+    panes = windows.user_panes(tags_of(posts_from(events(t))), "5 minutes", "5 minutes")
     out = shared_dir(t.spark, "hopping")
-    table = sinks.BatchTable(t.spark, f"{out}/rows", users.schema,
-                             sinks.newest_by(["tag", "window_start", "user_id"]))
-    runner.each_batch(users, table.write, f"{out}/checkpoint")
-    return rounded(windows.window_totals(table.current()), 4)
+    table = sinks.BatchTable(t.spark, f"{out}/rows", panes.schema,
+                             sinks.newest_by(["tag", "pane", "user_id"]), FOLD_EVERY)
+    runner.each_batch(panes, table.write, f"{out}/checkpoint")
+    return rounded(batch_windows.windows_of_panes(table.current()), 4)
 
 
 @query("st_grace", "posts", f"""
@@ -134,7 +138,7 @@ def tag_hours(t):
     counts = windows.tumbling(tags_of(posts_from(events(t))), "tag", "1 hour", "5 minutes")
     target = shared_dir(t.spark, "tag-hours")
     table = sinks.BatchTable(t.spark, f"{target}/rows", counts.schema,
-                             sinks.newest_by(["tag", "window_start"]))
+                             sinks.newest_by(["tag", "window_start"]), FOLD_EVERY)
     runner.each_batch(counts, table.write, f"{target}/checkpoint")
     return table, target
 
@@ -156,7 +160,7 @@ def _(t):
     counts = windows.tumbling(tags_of(posts_from(events(t))), "tag", "1 hour", "5 minutes")
     target = shared_dir(t.spark, "suppress")
     table = sinks.BatchTable(t.spark, f"{target}/rows", counts.schema,
-                             sinks.newest_by(["tag", "window_start"]))
+                             sinks.newest_by(["tag", "window_start"]), FOLD_EVERY)
 
     def publish(batch, batch_id):
         table.write(batch, batch_id)
@@ -172,14 +176,12 @@ WITH x AS (SELECT tag, {SEC} AS s FROM ({TAGS_SQL})),
 m AS (SELECT tag, max(s) AS newest FROM x GROUP BY tag)
 SELECT tag, count(*) AS n FROM x JOIN m USING (tag) WHERE s >= newest - 86400 GROUP BY tag""")
 def _(t):
-    log = stateful.sliding_log(tags_of(posts_from(events(t))), 86400)
+    log = windows.per_second(tags_of(posts_from(events(t))), "1 hour")
     target = shared_dir(t.spark, "sliding")
-    table = sinks.BatchTable(t.spark, f"{target}/rows", log.schema, lambda p: p)
+    table = sinks.BatchTable(t.spark, f"{target}/rows", log.schema,
+                             sinks.newest_by(["tag", "second"]), FOLD_EVERY)
     runner.each_batch(log, table.write, f"{target}/checkpoint")
-    # A log replaces the earlier one of the same tag and salt as a whole.
-    parts = table.partials()
-    last = parts.groupBy("tag", "salt").agg(F.max("batch").alias("batch"))
-    return stateful.log_totals(parts.join(last, ["tag", "salt", "batch"]), 86400)
+    return windows.log_totals(table.current(), 86400)
 
 
 @query("agg_sliding_counts", "posts", f"""
@@ -187,7 +189,7 @@ WITH x AS (SELECT tag, {SEC} AS s FROM ({TAGS_SQL})),
 m AS (SELECT tag, max(s) AS newest FROM x GROUP BY tag)
 SELECT tag, count(*) AS n FROM x JOIN m USING (tag) WHERE s >= newest - 86400 GROUP BY tag""")
 def _(t):
-    return stateful.sliding_counts(tags_of(t.posts), 86400)
+    return windows.sliding_counts(tags_of(t.posts), 86400)
 
 
 def like_stream(t):
@@ -257,7 +259,8 @@ def _(t):
     half = F.col("ts") < F.to_timestamp_ntz(F.lit("2024-01-15 00:00:00"))
     target = shared_dir(t.spark, "recover")
     schema = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("n", T.LongType())])
-    table = sinks.BatchTable(t.spark, f"{target}/rows", schema, sinks.newest_by(["user_id"]))
+    table = sinks.BatchTable(t.spark, f"{target}/rows", schema, sinks.newest_by(["user_id"]),
+                             FOLD_EVERY)
 
     def run(folder):
         counts = events(t, folder).groupBy("user_id").agg(
@@ -293,7 +296,7 @@ def _(t):
     by_user = trending.hashtag_user_counts(trending.hashtag_rows(posts_from(events(t))))
     target = shared_dir(t.spark, "trends")
     table = sinks.BatchTable(t.spark, f"{target}/rows", by_user.schema,
-                             sinks.newest_by(["hashtag", "user_id"]))
+                             sinks.newest_by(["hashtag", "user_id"]), FOLD_EVERY)
     runner.each_batch(by_user, table.write, f"{target}/checkpoint")
     return trending.hashtag_totals(table.current()).select(
         "hashtag", "mention_count", "unique_users", F.unix_seconds("latest_ts").alias("latest_s"))
@@ -326,18 +329,11 @@ def _(t):
     judged = moderation.judged(posts)
     clean = F.col("spam_reason") == "clean"
     kept = clean & (F.col("policy.action") != "REMOVE")
-    peeked = judged.observe(
-        "funnel", F.count(F.lit(1)).alias("received"),
-        F.count(F.when(clean, 1)).alias("after_spam"), F.count(F.when(kept, 1)).alias("enriched"))
     target = shared_dir(t.spark, "peek")
-    done = runner.append_to(peeked.filter(kept).select("content"), f"{target}/rows",
-                            f"{target}/checkpoint")
-    seen = [p["observedMetrics"]["funnel"] for p in done.recentProgress
-            if "funnel" in p["observedMetrics"]]
-    names = ("received", "after_spam", "enriched")
-    rows = [tuple(int(s[n]) for n in names) for s in seen]
-    frame = t.spark.createDataFrame(rows, "received long, after_spam long, enriched long")
-    return frame.agg(*[F.sum(n).alias(n) for n in names])
+    totals = runner.counted(
+        judged, {"received": F.lit(True), "after_spam": clean, "enriched": kept},
+        lambda rows: rows.filter(kept).select("content"), target)
+    return totals.current()
 
 
 @query("sink_keyed", "interactions profiles", """

@@ -289,12 +289,11 @@ def _(t):
 
 # Sinks: the merged table after one more batch.
 
-def counts_between(t, low, high, seq):
-    """Hashtag counts of the posts in [low, high) as sink records."""
+def counts_of(posts, seq):
+    """Hashtag counts of posts as sink records."""
     from murmur.operators import trending
 
-    tags = trending.hashtag_rows(t.posts).filter(
-        (F.col("ts") >= F.to_timestamp(F.lit(low))) & (F.col("ts") < F.to_timestamp(F.lit(high))))
+    tags = trending.hashtag_rows(posts)
     return tags.groupBy("hashtag").agg(
         F.count(F.lit(1)).alias("count"), F.min(F.unix_seconds("ts")).alias("window_start"),
         F.max(F.unix_seconds("ts")).alias("window_end")).select(
@@ -305,15 +304,16 @@ def counts_between(t, low, high, seq):
 @query("sink_upsert_add", "posts", f"""
 WITH x AS (SELECT ts, unnest(hashtags) AS hashtag FROM posts),
 a AS (SELECT hashtag, count(*) AS n, min({SEC}) AS w0, max({SEC}) AS w1 FROM x
-  WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-01-15' GROUP BY hashtag),
+  WHERE ts < TIMESTAMP '2024-01-15' GROUP BY hashtag),
 b AS (SELECT hashtag, count(*) AS n, min({SEC}) AS w0, max({SEC}) AS w1 FROM x
-  WHERE ts >= TIMESTAMP '2024-01-15' AND ts < TIMESTAMP '2024-02-01' GROUP BY hashtag)
+  WHERE ts >= TIMESTAMP '2024-01-15' GROUP BY hashtag)
 SELECT hashtag, coalesce(a.n, 0) + coalesce(b.n, 0) AS count, coalesce(a.w0, b.w0) AS window_start,
   coalesce(b.w1, a.w1) AS last_updated, coalesce(b.w1, a.w1) AS window_end,
   coalesce(b.n, a.n)::DOUBLE AS trend_score FROM a FULL JOIN b USING (hashtag)""")
 def _(t):
-    return tables.merge_counts(counts_between(t, "2024-01-01", "2024-01-15", -1),
-                               counts_between(t, "2024-01-15", "2024-02-01", 0))
+    half = F.to_timestamp(F.lit("2024-01-15"))
+    return tables.merge_counts(counts_of(t.posts.filter(F.col("ts") < half), -1),
+                               counts_of(t.posts.filter(F.col("ts") >= half), 0))
 
 
 @query("sink_upsert_metrics", "interactions", """

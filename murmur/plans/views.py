@@ -76,9 +76,8 @@ def _reaction(t: Tables, event_type: str, name: str, reach: int) -> DataFrame:
             .filter(F.col("post_id") >= 0))
 
 
-def _profiles(t: Tables) -> DataFrame:
-    customer = t.customer.filter(F.col("c_acctbal") >= 0)
-    nation = t.nation
+def _users(t: Tables) -> DataFrame:
+    customer, nation = t.customer, t.nation
     return (customer.join(nation, customer.c_nationkey == nation.n_nationkey)
             .select(F.col("c_custkey").alias("user_id"),
                     (18 + F.col("c_custkey") % 48).alias("age"),
@@ -146,7 +145,9 @@ VIEWS = {
     "posts": lambda t: posts_from(t.ev),
     "likes": lambda t: _reaction(t, "click", "like_id", 7),
     "comments": lambda t: _reaction(t, "signup", "comment_id", 5),
-    "profiles": _profiles,
+    "users": _users,
+    # Some users have no profile, for the joins that must meet that.
+    "profiles": lambda t: t.users.filter(F.col("balance") >= 0),
     "changelog": lambda t: changelog_from(t.ev),
     "logs": _logs,
     "text_posts": _text_posts,
@@ -185,10 +186,11 @@ FROM ev WHERE event_type = 'click' AND event_id - 1 - k % 7 >= 0"""),
     "comments": ("ev", """
 SELECT event_id AS comment_id, event_id - 1 - k % 5 AS post_id, user_id, ts
 FROM ev WHERE event_type = 'signup' AND event_id - 1 - k % 5 >= 0"""),
-    "profiles": ("", """
+    "users": ("", """
 SELECT c_custkey AS user_id, 18 + c_custkey % 48 AS age, n_name AS city, c_mktsegment AS tier,
   c_acctbal AS balance
-FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal >= 0"""),
+FROM customer JOIN nation ON c_nationkey = n_nationkey"""),
+    "profiles": ("users", "SELECT * FROM users WHERE balance >= 0"),
     "changelog": ("ev", """
 SELECT event_id AS log_offset, user_id AS log_key, k % 20 AS version, ts AS updated_at,
   CASE WHEN event_type <> 'error' THEN concat(event_type, '-', k) END AS payload FROM ev"""),

@@ -20,18 +20,15 @@ RUNTIME_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
-DEFAULT_PARTITIONS = "200"
-
 
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
-    context = spark.sparkContext
-    if context.master.startswith("local") and spark.conf.get(
-            "spark.sql.shuffle.partitions") == DEFAULT_PARTITIONS:
-        # Streams keep one state store per partition; a local run needs few. Clusters
-        # keep what they are given.
-        spark.conf.set("spark.sql.shuffle.partitions", str(context.defaultParallelism))
+    context, partitions = spark.sparkContext, "spark.sql.shuffle.partitions"
+    if context.master.startswith("local") and context.getConf().get(partitions) is None:
+        # Streams keep one state store per partition; a local run needs few. What the
+        # session was built with stays, and so does every setting of a cluster.
+        spark.conf.set(partitions, str(context.defaultParallelism))
     return spark
 
 

@@ -37,7 +37,8 @@ def file_stream(spark: SparkSession, folder: str, schema: T.StructType, pattern:
 
 def decode(df: DataFrame, schema: T.StructType, time_field: str | None = "timestamp",
            value: str = "value") -> DataFrame:
-    """JSON text to columns; unreadable rows keep their text in ``error_value``.
+    """JSON text to columns; unreadable rows, null ones too, have ``is_bad`` and keep their
+    text in ``error_value``.
 
     ``time_field`` holds epoch milliseconds and becomes the event time ``ts``.
     """
@@ -49,15 +50,15 @@ def decode(df: DataFrame, schema: T.StructType, time_field: str | None = "timest
     out = rows.select(
         *kept,
         *[F.when(~bad, F.col("__m").getField(f.name)).alias(f.name) for f in schema.fields],
-        F.when(bad, F.col("__raw")).alias("error_value"))
+        F.when(bad, F.col("__raw")).alias("error_value"), bad.alias("is_bad"))
     if time_field:
         out = out.withColumn("ts", F.timestamp_millis(F.col(time_field)))
     return out
 
 
 def good_and_bad(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return (decoded.filter(F.col("error_value").isNull()).drop("error_value"),
-            decoded.filter(F.col("error_value").isNotNull()))
+    return (decoded.filter(~F.col("is_bad")).drop("error_value", "is_bad"),
+            decoded.filter("is_bad").drop("is_bad"))
 
 
 def merge_topics(streams: dict[str, DataFrame]) -> DataFrame:

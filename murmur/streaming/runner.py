@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from murmur.functions.columns import count_if
 from murmur.session import shared_dir
+from murmur.streaming import sinks
 
 BatchFn = Callable[[DataFrame, int], None]
 
@@ -44,6 +48,29 @@ def topic_sink(df: DataFrame, servers: str, topic: str, checkpoint: str,
             .trigger(processingTime=every).start())
 
 
+def counted(stream: DataFrame, counts: dict[str, Column], kept: Callable[[DataFrame], DataFrame],
+            folder: str) -> sinks.BatchTable:
+    """Write ``kept`` of every micro-batch, and count beside it how many rows meet each condition.
+
+    The counts are observed while the rows are written and kept by batch id, so a repeated
+    batch counts once and no batch is forgotten.
+    """
+    names = list(counts)
+    schema = T.StructType([T.StructField(n, T.LongType()) for n in names])
+    totals = sinks.BatchTable(stream.sparkSession, f"{folder}/counts", schema,
+                              lambda parts: parts.agg(*[F.sum(n).alias(n) for n in names]))
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        seen = Observation()
+        rows = kept(batch.observe(seen, *[count_if(c).alias(n) for n, c in counts.items()]))
+        rows.write.mode("overwrite").parquet(f"{folder}/rows/batch={batch_id:09d}")
+        row = [tuple(int(seen.get[n]) for n in names)]
+        totals.write(batch.sparkSession.createDataFrame(row, schema), batch_id)
+
+    each_batch(stream, handle, f"{folder}/checkpoint", "append")
+    return totals
+
+
 def read_result(spark: SparkSession, path: str, schema) -> DataFrame:
     """The written rows, also when the stream has not written any file."""
     return spark.read.schema(schema).parquet(path)

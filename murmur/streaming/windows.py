@@ -37,26 +37,34 @@ def hopping_closed(tags: DataFrame, size: str, hop: str, delay: str) -> DataFram
                       "mention_count", "unique_users", "total_engagement")
 
 
-def hopping_users(tags: DataFrame, size: str, hop: str, delay: str) -> DataFrame:
-    """The first half of the above, for update mode; open windows are included."""
-    return _per_user(tags, size, hop, delay).select(
-        "tag", F.unix_seconds("window.start").alias("window_start"), "user_id", "n",
-        "engagement")
+def user_panes(tags: DataFrame, hop: str, delay: str) -> DataFrame:
+    """Sums per pane of one hop, hashtag and user, for update mode: one state row per event
+    at most. ``operators.windows.windows_of_panes`` fills hopping windows from them."""
+    out = tags.withWatermark("ts", delay).groupBy(F.window("ts", hop), "tag", "user_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("engagement_score").alias("engagement"))
+    return out.select("tag", "user_id", F.unix_seconds("window.start").alias("pane"), "n",
+                      "engagement")
 
 
-def window_totals(per_user: DataFrame) -> DataFrame:
-    """The second half, over the table that the updates are kept in."""
-    return per_user.groupBy("tag", "window_start").agg(*_totals())
+def per_second(tags: DataFrame, delay: str) -> DataFrame:
+    """Mentions per hashtag and second, for update mode; seconds leave the state after
+    ``delay``, and a hot hashtag is spread over its seconds."""
+    out = tags.withWatermark("ts", delay).groupBy(F.window("ts", "1 second"), "tag").agg(
+        F.count(F.lit(1)).alias("n"))
+    return out.select("tag", F.unix_seconds("window.start").alias("second"), "n")
 
 
-def hopping_users_approx(tags: DataFrame, size: str, hop: str, delay: str,
-                         rsd: float = 0.01) -> DataFrame:
-    """As ``hopping``, with a sketch of fixed size in place of the set of users."""
-    out = tags.withWatermark("ts", delay).groupBy(F.window("ts", size, hop), "tag").agg(
-        F.count(F.lit(1)).alias("mention_count"),
-        F.approx_count_distinct("user_id", rsd).alias("unique_users"))
-    return out.select("tag", F.unix_seconds("window.start").alias("window_start"),
-                      "mention_count", "unique_users")
+def log_totals(seconds: DataFrame, reach: int) -> DataFrame:
+    """Mentions per hashtag in the ``reach`` seconds up to its newest mention."""
+    newest = seconds.groupBy("tag").agg(F.max("second").alias("newest"))
+    return (seconds.join(newest, "tag").filter(F.col("second") >= F.col("newest") - reach)
+            .groupBy("tag").agg(F.sum("n").alias("n")))
+
+
+def sliding_counts(tags: DataFrame, reach: int) -> DataFrame:
+    """Batch form of the same report."""
+    return log_totals(tags.groupBy("tag", F.unix_seconds("ts").alias("second")).agg(
+        F.count(F.lit(1)).alias("n")), reach)
 
 
 def open_ranking(windows: DataFrame, now_s: int, size_s: int, grace_s: int,

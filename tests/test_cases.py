@@ -281,8 +281,9 @@ def test_sla(spark):
 
 def test_counter_rates_cross_chunks(spark):
     df = spark.createDataFrame(
-        [(1, T0, 10.0), (1, T0 + timedelta(hours=3), 10.0 + 3 * 3600), (1, T0 + timedelta(hours=4), 0.0)],
-        "broker long, ts timestamp, c double")
+        [(1, 1, T0, 99.0), (1, 2, T0, 10.0), (1, 3, T0 + timedelta(hours=3), 10.0 + 3 * 3600),
+         (1, 4, T0 + timedelta(hours=4), 0.0)],
+        "broker long, event_id long, ts timestamp, c double")
     assert rows(health.counter_rates(df, ["broker"], ["c"]), "c_rate") == [(0.0,), (1.0,)]
 
 
