@@ -184,13 +184,17 @@ def fit_rates(rows: DataFrame, targets: list[float]) -> list[np.ndarray]:
     bound = np.linalg.eigvalsh(curvature / np.sqrt(np.outer(own, own))).max()
     wanted = np.array(targets)
     steps: list[np.ndarray] = []
+    before = np.full(k, np.inf)
     for _ in range(STEPS):
         sums = rows.select((rate(steps) * F.col("n_tokens")).alias("w"), "p").agg(
             *(F.sum(F.col("w") * F.col("p")[i]) for i in range(k))).first()
         error = np.array([float(x or 0) for x in sums]) - wanted
-        if np.abs(error).sum() <= CLOSE * max(wanted.sum(), 1e-12):
+        near = CLOSE * max(wanted.sum(), 1e-12)
+        # Reached, or as near as rates of 0 and more can come.
+        if np.abs(error).sum() <= near or np.abs(error - before).sum() <= near / 20:
             break
         steps.append(error / own / bound)
+        before = error
     return steps
 
 
