@@ -23,10 +23,11 @@ def clear_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFra
 
 
 def new_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Lines of windows that occurred before go from the texts; n_chars follows."""
+    """Lines of windows that occurred before go from the texts, and with them the documents
+    that they leave blank; n_chars follows."""
     prepared(spark)
-    out = line_dedup.dedup(docs).drop("n_lines", "n_removed")
-    return out.withColumn("n_chars", F.length("text").cast("long"))
+    out = line_dedup.dedup(docs).where("n_removed = 0 OR trim(text) <> ''")
+    return out.select(*docs.columns).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
