@@ -43,6 +43,11 @@ def compacted_log(log: DataFrame) -> DataFrame:
     return compact_versioned(log).unionByName(last_dead)
 
 
+def rebuilt(snapshot: DataFrame, tail: DataFrame) -> DataFrame:
+    """The state from a ``compacted_log`` and the log after it, without the rest of the log."""
+    return compact_versioned(snapshot.unionByName(tail))
+
+
 def compaction_stats(log: DataFrame) -> DataFrame:
     """Messages, updates, tombstones, ignored old versions, active and deleted keys.
 
@@ -138,3 +143,16 @@ def outbox_batch(outbox: DataFrame, published: DataFrame, limit: int = 100) -> D
     """The oldest rows that are not published yet."""
     return (outbox.join(published.select("event_id"), "event_id", "left_anti")
             .orderBy("created_at", "event_id").limit(limit))
+
+
+def marked_published(outbox: DataFrame, published: DataFrame, batch: DataFrame,
+                     now: Column) -> DataFrame:
+    """The outbox with ``published``, and ``published_at`` for the rows of a relayed batch.
+
+    Marking a batch again changes nothing but the time.
+    """
+    done = published.select("event_id").union(batch.select("event_id")).distinct().withColumn(
+        "published", F.lit(True))
+    fresh = batch.select("event_id", now.alias("published_at"))
+    return (outbox.join(done, "event_id", "left").join(fresh, "event_id", "left")
+            .withColumn("published", F.coalesce("published", F.lit(False))))

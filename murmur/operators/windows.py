@@ -83,6 +83,13 @@ def windows_of_panes(panes: DataFrame, size_s: int = 1800, hop_s: int = 300) ->
         F.sum("engagement").alias("total_engagement"))
 
 
+def in_windows(ts: Column, from_s: int, to_s: int, seconds: int) -> Column:
+    """Whether a time lies in a window that starts in [from_s, to_s]; reaches the scan."""
+    first = -(-from_s // seconds) * seconds
+    end = to_s // seconds * seconds + seconds
+    return (ts >= F.timestamp_seconds(F.lit(first))) & (ts < F.timestamp_seconds(F.lit(end)))
+
+
 def fetch(windows: DataFrame, key: str, value: str, from_s: int, to_s: int,
           seconds: int) -> DataFrame:
     """Windows of one key; the lower bound is aligned down to a window start."""

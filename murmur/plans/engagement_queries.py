@@ -36,7 +36,9 @@ SELECT content_id, round(sum(window_score), 6) AS score FROM (
   FROM interactions GROUP BY 1, 2)
 WHERE window_start >= {AS_OF_S} - 3 * 86400 GROUP BY content_id""")
 def _(t):
-    per_window = windows.window_scores(t.interactions, weight(), DAY)
+    recent = t.interactions.filter(windows.in_windows(
+        F.col("ts"), AS_OF_S - 3 * DAY, 1 << 40, DAY))
+    per_window = windows.window_scores(recent, weight(), DAY)
     return rounded(windows.score_at(per_window, AS_OF_S, DAY))
 
 
@@ -184,15 +186,19 @@ SELECT tag, s // 3600 * 3600 AS window_start, count(*) AS n FROM (
   FROM posts) GROUP BY 1, 2"""
 
 
-def tag_windows(t):
-    return windows.tumbling_counts(messages.hashtag_occurrences(t.posts), "tag", 3600)
+def tag_windows(t, from_s=None):
+    """Hourly counts per tag; with ``from_s`` of the windows from there to the present."""
+    posts = t.posts if from_s is None else t.posts.filter(
+        windows.in_windows(F.col("ts"), from_s, AS_OF_S, 3600))
+    return windows.tumbling_counts(messages.hashtag_occurrences(posts), "tag", 3600)
 
 
 @query("win_fetch", "posts", f"""
 SELECT * FROM ({TAG_WINDOW_SQL}) WHERE tag = 't1'
   AND window_start BETWEEN ({AS_OF_S} - 200000) // 3600 * 3600 AND {AS_OF_S}""")
 def _(t):
-    return windows.fetch(tag_windows(t), "tag", "t1", AS_OF_S - 200000, AS_OF_S, 3600)
+    aligned = (AS_OF_S - 200000) // 3600 * 3600
+    return windows.fetch(tag_windows(t, aligned), "tag", "t1", AS_OF_S - 200000, AS_OF_S, 3600)
 
 
 RECENT_SQL = f"""
@@ -200,7 +206,7 @@ SELECT * FROM ({TAG_WINDOW_SQL}) WHERE window_start BETWEEN {AS_OF_S} - 200000 A
 
 
 def recent_windows(t):
-    return windows.fetch_all(tag_windows(t), AS_OF_S - 200000, AS_OF_S)
+    return windows.fetch_all(tag_windows(t, AS_OF_S - 200000), AS_OF_S - 200000, AS_OF_S)
 
 
 @query("win_fetch_all", "posts", RECENT_SQL)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from murmur import fixed_values as fv
 from murmur import schemas
 from murmur.plans.registry import query
 from murmur.sources import files, messages, tables
@@ -112,6 +113,21 @@ def _(t):
     return found.select("file_id", "filename", "size_bytes", "checksum", "mime_type")
 
 
+@query("src_page_metadata", "", f"""
+SELECT substr(sum, 1, 16) AS file_id, name AS filename, octet_length(encode(html)) AS size_bytes,
+  sum AS checksum, CASE lower(regexp_extract(name, '[^.](\\.[^.]+)$', 1))
+    {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in fv.MIME_TYPES.items())}
+    ELSE '{fv.DEFAULT_MIME_TYPE}' END AS mime_type
+FROM (SELECT html, sha256(html) AS sum, string_split(url, '/')[-1] AS name FROM pages)""")
+def _(t):
+    """The same description of stored pages."""
+    content = F.encode("html", "UTF-8")
+    pages = t.pages.select(F.col("url").alias("path"), F.length(content).cast("long").alias(
+        "length"), F.lit(None).cast("timestamp").alias("modificationTime"), content.alias("content"))
+    return files.described(pages).select(
+        "file_id", "filename", "size_bytes", "checksum", "mime_type")
+
+
 @query("src_topic_route", "ev", """
 SELECT event_id, CASE WHEN k % 2 = 0 THEN 'cdc.' || event_type ELSE event_type || '.raw' END AS topic
 FROM ev""")

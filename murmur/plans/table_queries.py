@@ -8,7 +8,7 @@ from murmur.functions import scans
 from murmur.functions.columns import lookup
 from murmur.operators import resolve, schema_evolution, tables
 from murmur.plans.registry import query
-from murmur.plans.row_queries import AS_OF, joined, rounded
+from murmur.plans.row_queries import AS_OF, AS_OF_S, joined, rounded
 
 SEC = "epoch_us(ts) // 1000000"
 
@@ -38,8 +38,10 @@ def _(t):
 
 @query("tbl_rebuild", "changelog", COMPACT_SQL)
 def _(t):
-    """A rebuild is the same function over the whole log; no state is carried over."""
-    return tables.compact_versioned(t.changelog).select(
+    """A reader starts from the compacted log up to a day and replays what came later."""
+    early = F.col("updated_at") < F.to_timestamp(F.lit("2024-01-15"))
+    snapshot = tables.compacted_log(t.changelog.filter(early))
+    return tables.rebuilt(snapshot, t.changelog.filter(~early)).select(
         "log_key", "log_offset", "version", "payload")
 
 
@@ -338,11 +340,30 @@ def _(t):
         "post_id", F.unix_seconds("ts").alias("ts_s"))
 
 
+def outbox_of(t):
+    outbox = t.ev.select("event_id", "event_type", F.col("ts").alias("created_at"))
+    return outbox, t.likes.select(F.col("post_id").alias("event_id")).distinct()
+
+
 @query("sink_outbox_relay", "ev likes", f"""
 SELECT event_id, event_type, {SEC} AS created_s FROM ev
 WHERE event_id NOT IN (SELECT post_id FROM likes) ORDER BY ts, event_id LIMIT 100""")
 def _(t):
-    outbox = t.ev.select("event_id", "event_type", F.col("ts").alias("created_at"))
-    published = t.likes.select(F.col("post_id").alias("event_id")).distinct()
+    outbox, published = outbox_of(t)
     return tables.outbox_batch(outbox, published).select(
         "event_id", "event_type", F.unix_seconds("created_at").alias("created_s"))
+
+
+@query("sink_outbox_marked", "ev likes", f"""
+WITH b AS (SELECT event_id FROM ev WHERE event_id NOT IN (SELECT post_id FROM likes)
+  ORDER BY ts, event_id LIMIT 100)
+SELECT event_id, event_id IN (SELECT post_id FROM likes) OR event_id IN (SELECT event_id FROM b)
+    AS published, CASE WHEN event_id IN (SELECT event_id FROM b) THEN {AS_OF_S} END::BIGINT AS published_s
+FROM ev""")
+def _(t):
+    """The outbox after the batch has been relayed and marked."""
+    outbox, published = outbox_of(t)
+    batch = tables.outbox_batch(outbox, published)
+    marked = tables.marked_published(outbox, published, batch, F.timestamp_seconds(F.lit(AS_OF_S)))
+    return marked.select("event_id", "published",
+                         F.unix_seconds("published_at").alias("published_s"))

@@ -11,15 +11,37 @@ from murmur.functions.columns import lookup
 
 def file_metadata(spark: SparkSession, folder: str, pattern: str = "*",
                   after_s: float | None = None) -> DataFrame:
-    """Name, size, checksum, id and type of every file changed after the mark.
+    """``described`` for every file changed after the mark.
 
-    Files are hashed by the tasks that read them, one row per file. Spark's reader
-    gives no row for an empty file and refuses files of 2 GB or more.
+    Files are hashed by the tasks that read them, one row per file. Spark's reader passes
+    over empty files, so these come from the listing; it refuses files of 2 GB or more.
     """
     files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
              .option("recursiveFileLookup", "true").load(folder))
+    files = files.unionByName(empty_files(spark, folder, pattern))
     if after_s is not None:
         files = files.filter(F.col("modificationTime") > F.timestamp_seconds(F.lit(after_s)))
+    return described(files)
+
+
+def empty_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+    """The empty files below a folder, as the binary reader would show them."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root, wanted = hadoop.Path(folder), hadoop.GlobFilter(pattern)
+    found = root.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(root, True)
+    rows = []
+    while found.hasNext():
+        status = found.next()
+        if status.getLen() == 0 and wanted.accept(status.getPath()):
+            seconds = status.getModificationTime() / 1000
+            rows.append((status.getPath().toString(), seconds))
+    frame = spark.createDataFrame(rows, "path string, seconds double")
+    return frame.select("path", F.timestamp_seconds("seconds").alias("modificationTime"),
+                        F.lit(0).cast("long").alias("length"), F.lit(b"").alias("content"))
+
+
+def described(files: DataFrame) -> DataFrame:
+    """Name, size, checksum, id and type of files (path, length, modificationTime, content)."""
     name = F.element_at(F.split("path", "/"), -1)
     suffix = F.lower(F.regexp_extract(name, r"(?<=[^.])(\.[^.]+)$", 1))
     checksum = F.sha2("content", 256)

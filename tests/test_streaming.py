@@ -140,8 +140,10 @@ def test_decode_keeps_unreadable_rows(spark):
 def test_file_metadata(spark, tmp_path):
     (tmp_path / "a.JPG").write_bytes(b"abc")
     (tmp_path / "b.bin").write_bytes(b"xyz")
+    (tmp_path / "c.txt").write_bytes(b"")
     out = file_metadata(spark, str(tmp_path))
     assert rows(out, "filename", "size_bytes", "mime_type", "file_id") == [
         ("a.JPG", 3, "image/jpeg", "ba7816bf8f01cfea"),
-        ("b.bin", 3, "application/octet-stream", "3608bca1e44ea6c4")]
+        ("b.bin", 3, "application/octet-stream", "3608bca1e44ea6c4"),
+        ("c.txt", 0, "text/plain", "e3b0c44298fc1c14")]
     assert file_metadata(spark, str(tmp_path), after_s=4e9).count() == 0
