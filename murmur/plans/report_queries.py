@@ -535,6 +535,20 @@ def _(t):
     return rounded(reports.hotspots(loads, "total_posts", 1.1, 0.9))
 
 
+@query("agg_hotspots_throughput", "ev", """
+WITH w AS (SELECT CASE WHEN k < 50 THEN 0 WHEN k < 70 THEN 1 WHEN k < 85 THEN 2 WHEN k < 99 THEN 3 ELSE 4 END::BIGINT
+    AS partition, count(*) AS n FROM ev GROUP BY 1)
+SELECT partition, n, round(avg(n) OVER (), 6) AS average,
+  CASE WHEN n > avg(n) OVER () * 2.0::DOUBLE THEN 'hot' WHEN n < avg(n) OVER () * 0.1::DOUBLE THEN 'cold'
+    ELSE 'normal' END AS flag FROM w""")
+def _(t):
+    """Throughput over twice, or under a tenth of, the mean; one partition of each kind."""
+    k = F.col("k")
+    part = F.when(k < 50, 0).when(k < 70, 1).when(k < 85, 2).when(k < 99, 3).otherwise(4)
+    loads = t.ev.groupBy(part.cast("long").alias("partition")).agg(F.count(F.lit(1)).alias("n"))
+    return rounded(reports.hotspots(loads, "n", 2.0, 0.1))
+
+
 @query("agg_distribution_health", "ev", """
 WITH w AS (SELECT ('0x' || md5('user:' || user_id))::UHUGEINT % 100 AS p, count(*) AS n FROM ev GROUP BY 1),
 f AS (SELECT CASE WHEN n > avg(n) OVER () * 1.5::DOUBLE THEN 'hot' WHEN n < avg(n) OVER () * 0.5::DOUBLE

@@ -27,7 +27,18 @@ class LastWriteWins:
         self.emitted = BatchTable(spark, f"{path}/winners", WINNERS, lambda p: p)
         self.best = BatchTable(spark, f"{path}/best", BEST, newest_by(["content_id"]))
 
+    FOLD_EVERY = 20
+
     def __call__(self, copies: DataFrame, batch_id: int) -> None:
+        if batch_id and batch_id % self.FOLD_EVERY == 0:
+            self.best.fold(batch_id - 1)  # never this batch: it may be a repeated one
+        copies = copies.persist()
+        try:
+            self._resolve(copies, batch_id)
+        finally:
+            copies.unpersist()
+
+    def _resolve(self, copies: DataFrame, batch_id: int) -> None:
         rows = copies.withColumn("is_old", F.lit(False))
         if batch_id > 0:
             # What earlier batches left behind; a repeated batch must not see itself.
