@@ -49,16 +49,12 @@ OTHER, EDGE, SYMBOLS = 26, 27, 28
 
 WORD = re.compile(r"[^\W\d_]+")
 LEET_MARKS = "".join(map(re.escape, LEET))
-REPEATED = re.compile(r"\S*([^\W\d_])\1\1\S*")
 SPACED = re.compile(rf"(?<![^\W_])(?:[^\W_{LEET_MARKS}][ .\-*_,~]|[{LEET_MARKS}][ .\-*_,~])"
                     r"{2,}[^\W_](?![^\W_])")
-
-
-REPEATED_RUN = re.compile(r"([^\W\d_])\1\1")
+REPEATED = re.compile(r"([^\W\d_])\1\1")
 INNER = re.compile(rf"[^\W\d_][\d\W_]+[^\W\d_]|[^\W\d_][{LEET_MARKS}]|[{LEET_MARKS}][^\W\d_]")
 
 
-
 def symbol(c: str) -> int:
     return ord(c) - 97 if "a" <= c <= "z" else OTHER if c.isalpha() else EDGE
 
@@ -161,13 +157,11 @@ class Channel:
         """All words as written, then the words of the restored pieces."""
         text = (text or "").lower()
         out = WORD.findall(text)
+        repeats = REPEATED.search(text) is not None
         for token in set(text.split()):
             core = token.strip(".,;:?\"'()[]{}<>#%&*~^=`")
-            if not core.isalpha() and disguised(core):
+            if (not core.isalpha() and disguised(core)) or (repeats and REPEATED.search(core)):
                 out += WORD.findall(self.restored(core))
-        if REPEATED_RUN.search(text):
-            for m in REPEATED.finditer(text):
-                out += WORD.findall(self.restored(m[0]))
         for m in SPACED.finditer(text):
             out += WORD.findall(self.restored(m[0]))
         return out
