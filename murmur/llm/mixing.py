@@ -32,6 +32,8 @@ from murmur.llm.tokens import SPACE, Words, pieces, words
 BUCKETS = 1 << 16
 #: Expected rows of the labelled sample; a third of it fits the regression.
 SAMPLE_ROWS, HASH_RANGE = 20_000, 1 << 30
+#: Documents' worth of prior in the odds of a word.
+PRIOR_TEXTS = 5.0
 STEPS, CLOSE = 60, 1e-4
 
 
@@ -65,7 +67,8 @@ def word_counts(sample: DataFrame, domains: list[str]) -> np.ndarray:
 
 
 def shapes(w: Words, raw: np.ndarray, odds: np.ndarray) -> np.ndarray:
-    """Features of each document of a piece: word odds by domain, and the shape of the text."""
+    """Features of each document of a piece: mean and best word odds by domain, and the shape
+    of the text."""
     n, size = np.diff(w.offsets), np.diff(w.bounds)
     at = bucket(w)
 
@@ -80,8 +83,11 @@ def shapes(w: Words, raw: np.ndarray, odds: np.ndarray) -> np.ndarray:
     np.maximum.at(most, held // BUCKETS, times)
     upper, marks = (raw >= 65) & (raw <= 90), np.isin(raw, np.frombuffer(b"!#$%&*|@", np.uint8))
     digits = (raw >= 48) & (raw <= 57)
+    best = np.zeros((len(odds), len(n)))
+    for top, o in zip(best, odds):
+        np.maximum.at(top, doc, o[at])
     return np.stack([
-        *(mean(o[at], w.offsets, n) for o in odds), np.log1p(n), distinct / np.maximum(n, 1),
+        *(mean(o[at], w.offsets, n) for o in odds), *best, np.log1p(n), distinct / np.maximum(n, 1),
         most / np.maximum(n, 1), *(mean(x, w.bounds, size) for x in (upper, marks, digits)),
         size / np.maximum(n, 1) / 10], axis=1)
 
@@ -153,10 +159,10 @@ def learn(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> Classifie
     # About SAMPLE_ROWS rows of two numbers, whatever the size of the tables.
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     counts = word_counts(sample.where(~F.col("late")), domains)
-    share = (counts + 0.5) / (counts.sum(axis=1, keepdims=True) + 0.5 * BUCKETS)
-    odds = np.log(share / share.mean(axis=0))
+    prior = (counts.sum(axis=1, keepdims=True) + 1) / (counts.sum() + len(domains))
+    odds = np.log((counts + PRIOR_TEXTS * prior) / (counts.sum(axis=0) + PRIOR_TEXTS) / prior)
     rows = featured(sample.where("late").select("text", "domain"), odds).collect()
-    width = len(rows[0]["values"]) if rows else len(domains) + 7
+    width = len(rows[0]["values"]) if rows else 2 * len(domains) + 7
     features = np.array([r["values"] for r in rows]).reshape(-1, width)
     return fitted(features, np.array([r["domain"] for r in rows], np.int64), odds)
 
@@ -229,7 +235,7 @@ def mixed_rows(docs: DataFrame, labelled: DataFrame, targets: dict[str, float],
 
 
 #: Domains of labelled documents, and the mix of the corpus.
-TARGETS = {"good": 0.90, "low": 0.09, "toxic": 0.01}
+TARGETS = {"good": 0.87, "low": 0.10, "toxic": 0.03}
 
 
 def domains_of(labels: DataFrame) -> DataFrame:
