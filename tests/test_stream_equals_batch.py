@@ -43,7 +43,7 @@ STATELESS = {
     "profiles": lambda ev, t: joins.enrich_actions(interactions_from(ev), t.profiles),
     "features": lambda ev, t: scoring.with_feature_lookup(
         interactions_from(ev).withColumnRenamed("duration_s", "duration_seconds"),
-        scoring.user_features(feature_users(t)), scoring.content_features(feature_contents(t))),
+        scoring.user_features(feature_users(t.profiles)), scoring.content_features(feature_contents(t))),
     "processed": lambda ev, t: joins.not_processed(
         ev, t.likes.select(F.col("post_id").alias("event_id")).distinct(), "event_id"),
 }
