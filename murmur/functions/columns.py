@@ -96,7 +96,3 @@ def percent(part: Column, whole: Column) -> Column:
 
 def count_if(condition: Column) -> Column:
     return F.count(F.when(condition, F.lit(1)))
-
-
-def sum_if(condition: Column, value: Column) -> Column:
-    return F.coalesce(F.sum(F.when(condition, value)), F.lit(0))

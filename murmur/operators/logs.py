@@ -64,13 +64,6 @@ def latency_stats(logs: DataFrame, keys: list[str]) -> DataFrame:
         F.bround(c, 2).alias(c) for c in ("avg", "min", "max", "p50", "p95", "p99")])
 
 
-def approximate_latency(logs: DataFrame, keys: list[str], accuracy: int = 10000) -> DataFrame:
-    """The same percentiles from a mergeable sketch, when exact ranks are not needed."""
-    return logs.groupBy(*keys).agg(*[
-        F.percentile_approx("latency_ms", p, accuracy).alias(name)
-        for name, p in (("p50", 0.50), ("p95", 0.95), ("p99", 0.99))])
-
-
 def bucket_percentiles(df: DataFrame, value: str, bounds: list[float],
                        points: dict[str, float]) -> DataFrame:
     """Percentiles as the upper bound of the first bucket that reaches n * p.

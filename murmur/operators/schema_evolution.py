@@ -44,11 +44,6 @@ def compatibility(fields: DataFrame) -> DataFrame:
     return out.withColumn("full", F.col("backward") & F.col("forward"))
 
 
-def verdict(level: str) -> Column:
-    return {"BACKWARD": F.col("backward"), "FORWARD": F.col("forward"),
-            "FULL": F.col("full")}.get(level, F.lit(True))
-
-
 def registry_report(versions: DataFrame) -> DataFrame:
     """Versions per subject and per state, totals and the average.
 

@@ -146,7 +146,3 @@ def recommendations(scores: DataFrame, n: int = fv.RECOMMENDATIONS_PER_USER) ->
     lists = best.groupBy("user_id").agg(
         F.sort_array(F.collect_list(F.struct("rank", "content_id", "total_score"))).alias("items"))
     return lists.withColumn("n", F.size("items").cast("long"))
-
-
-def latest_features(features: DataFrame, key: str, order: list[str]) -> DataFrame:
-    return newest_per_key(features, [key], order)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from murmur.functions import scans
 from murmur.functions.columns import lookup, md5_mod
 from murmur.functions.ranking import index_percentiles
-from murmur.operators import health, logs, messages, reports, validate
+from murmur.operators import health, logs, reports, validate
 from murmur.plans.join_queries import SPANS_SQL, spans_of
 from murmur.plans.registry import query
 from murmur.plans.row_queries import (

@@ -332,3 +332,13 @@ def test_upsert_adds_counts_and_replaces_the_rest(spark):
     batch = spark.createDataFrame([("a", 0, 2, 20, 11, 20, 2.0), ("b", 0, 1, 20, 11, 20, 1.0)], schema)
     assert rows(tables.merge_counts(stored, batch), "hashtag", "count", "window_start",
                 "last_updated", "trend_score") == [("a", 7, 1, 20, 2.0), ("b", 1, 11, 20, 1.0)]
+
+
+def test_records_are_resolved_by_their_type(spark):
+    df = spark.createDataFrame(
+        [(1, T0, T0, 3, ["a"]), (1, T0, T0 + timedelta(hours=1), 1, ["b"])],
+        "user_id long, created_at timestamp, updated_at timestamp, seq long, "
+        "interests array<string>")
+    assert resolve.RESOLVERS.keys() == {"user_profile", "content_metadata"}
+    newest = resolve.resolve("interaction", df, "user_id")
+    assert [r.interests for r in newest.collect()] == [["b"]]
