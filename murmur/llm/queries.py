@@ -11,7 +11,6 @@ from murmur.llm import (
     decontaminate, language_id, licenses, line_dedup, lm_scoring, mixing, near_dedup,
     nearest, secrets, toxicity)
 from murmur.llm.common import fold, table
-from murmur.llm.oracles import ORACLES  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
