@@ -20,14 +20,17 @@ RUNTIME_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+DEFAULT_PARTITIONS = "200"
+
 
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     context, partitions = spark.sparkContext, "spark.sql.shuffle.partitions"
-    if context.master.startswith("local") and context.getConf().get(partitions) is None:
-        # Streams keep one state store per partition; a local run needs few. What the
-        # session was built with stays, and so does every setting of a cluster.
+    chosen = context.getConf().get(partitions) or spark.conf.get(partitions) != DEFAULT_PARTITIONS
+    if context.master.startswith("local[") and not chosen:
+        # Streams keep one state store per partition; a local run needs few. A number that
+        # somebody has set stays, and so does every setting of a cluster.
         spark.conf.set(partitions, str(context.defaultParallelism))
     return spark
 
