@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from murmur.llm.common import written
 from murmur.llm.tokens import SPACE, mixed, pieces, words
 
-BLOCK = 12 << 20
+BLOCK = 4 << 20
 END = np.uint64(0xA0761D6478BD642F)
 PAIR = np.uint64(0xE7037ED1A0B428DB)
 PAIR_DROPS = np.uint64(8)  # bits of a pair's hash that are not kept
