@@ -187,14 +187,20 @@ class Model:
     weights: list[float]  # of 1 and the evidence; the score's log-odds
 
 
-def evidence(words: list[str], odds: dict[str, float]) -> tuple[float, ...]:
+def heads_of(odds: dict[str, float]) -> set[str]:
+    """The first letters, as many as the shortest beginning has, of all words with a feature."""
+    return {f.lstrip("=")[:BEGINNINGS[0]] for f in odds}
+
+
+def evidence(words: list[str], odds: dict[str, float], heads: set[str]) -> tuple[float, ...]:
     """1, strongest feature, log(1 + sum of all), log(1 + words); all 0 without any feature."""
     top = total = 0.0
     distinct = set(words)
     for word in distinct:
-        most = max(odds.get(f, 0.0) for f in features(word))
-        top = max(top, most)
-        total += most
+        if word[:BEGINNINGS[0]] in heads:
+            most = max(odds.get(f, 0.0) for f in features(word))
+            top = max(top, most)
+            total += most
     if not top:
         return (0.0,) * len(NAMES)
     return 1.0, top, math.log1p(total), math.log1p(len(distinct))
@@ -263,8 +269,9 @@ def evidence_of(rows: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         channel, odds = Channel(shared.value.characters), shared.value.odds
+        heads = heads_of(odds)
         for batch in batches:
-            found = [evidence(channel.words(t.as_py()), odds) for t in batch.column(0)]
+            found = [evidence(channel.words(t.as_py()), odds, heads) for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], *(pa.array([f[i] for f in found], pa.float64())
                                        for i in range(len(NAMES)))], [*rest, *NAMES])
