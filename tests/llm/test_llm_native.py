@@ -81,6 +81,26 @@ def test_licences(spark, no_docs):
     assert licenses.scan(no_docs).count() == 0
 
 
+def test_wrapped_and_embedded_notices(spark):
+    notices = [(t, name) for name, own in licenses.TEMPLATES.items() for t in own]
+    rows = []
+    for t, name in notices:
+        w = t.split()
+        for size in (3, 7):
+            rows.append(("\n".join("# " + " ".join(w[i:i + size]) for i in range(0, len(w), size)),
+                         name, 1, -(-len(w) // size)))
+        for n in (25, 250):
+            side = " ".join(f"stone{i} of river{i}" for i in range(n // 3))
+            rows.append((f"first line\n{side} {t} {side}", name, 2, 2))
+    filler = [f"of the word{i} and word{i + 1} in that place\nwith version {i}" for i in range(60)]
+    docs = spark.createDataFrame(
+        list(enumerate([r[0] for r in rows] + filler)), "doc_id long, text string")
+    out = {r.doc_id: [(x.family, x.number, x.last) for x in r.found]
+           for r in licenses.scan(docs).collect()}
+    assert [(rows[d][0][:200], out[d]) for d in range(len(rows)) if out[d] != [rows[d][1:]]] == []
+    assert not any(out[len(rows) + i] for i in range(len(filler)))
+
+
 def test_no_paragraph_without_a_cue_can_be_confirmed():
     cues = licenses.cues()
     for own in licenses.TEMPLATE_WORDS:
