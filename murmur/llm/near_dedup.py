@@ -14,8 +14,9 @@ pair is decided exactly and only links that join two parts are emitted, never al
 
 Class ids are 64-bit hashes of the whole set: n different documents meet by chance with
 probability n*n / 2**65. A null or blank text has the empty set and is linked with nothing.
-The component of a document is its smallest doc_id (nulls last); ``kept`` holds where doc_id
-equals it, null-safe, so rows without id stay only in groups without any id.
+The component of a document is its smallest doc_id (nulls last). ``kept`` holds for exactly one
+row of each component, the one with the least (doc_id, key): of rows that repeat each other any
+one, of a group without ids the one with the least key. Rows with the empty set are all kept.
 """
 
 from __future__ import annotations
@@ -203,8 +204,9 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
         "tile", F.pmod(F.xxhash64("id"), F.col("tiles")))
     members = classes.select("set_id", "key").join(
         placed, placed["id"] == classes["set_id"]).select("key", "set_id", "root", "tiles", "tile")
-    texts = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("key"), "text").join(
-        members, "key").select("text", "set_id", "root", "tiles", "tile")
+    # One row of each key: repeats are merged before the exchange.
+    texts = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("key"), "text")
+    texts = texts.dropDuplicates(["key"]).join(members, "key").select("text", "set_id", "root", "tiles", "tile")
     pairs = full_sets(texts).withColumn("other", F.explode(F.sequence(
         F.lit(0), F.col("tiles") - 1))).withColumns(
         {"low": F.least("tile", "other"), "high": F.greatest("tile", "other")})
@@ -213,22 +215,26 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def groups(docs: DataFrame) -> DataFrame:
     """doc_id, key, n_shingles, component_id, kept of every row."""
-    rows = written(profiles(docs), "profiles")
+    # Numbers of the rows; they stay as written, so repeats of a row can be told apart.
+    rows = written(profiles(docs).withColumn("at", F.monotonically_increasing_id()), "profiles")
+    first = F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", "key", "at")
     classes = rows.where("n_shingles > 0").groupBy("set_id").agg(
-        F.min("doc_id").alias("first_id"), F.min("key").alias("key"),
-        F.first("bands").alias("bands"))
+        F.min(first).alias("first"), F.first("bands").alias("bands")).withColumn(
+        "key", F.col("first.key"))
     classes = written(classes, "classes")
     roots = components(links(docs, classes))
-    firsts = classes.select("set_id", "first_id")
+    firsts = classes.select("set_id", "first")
     joined = roots.join(firsts, roots["id"] == firsts["set_id"])
-    least = joined.groupBy("root").agg(F.min("first_id").alias("component"))
-    moved = joined.join(least, "root").select("set_id", "component")
+    least = joined.groupBy("root").agg(F.min("first").alias("least"))
+    moved = joined.join(least, "root").select("set_id", "least")
     of_class = firsts.join(moved, "set_id", "left").select(
-        "set_id", F.coalesce("component", "first_id").alias("component"))
+        "set_id", F.coalesce("least", "first").alias("least"))
     found = rows.drop("bands").join(of_class, "set_id", "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
-    return found.select("doc_id", "key", "n_shingles", component.alias("component_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    full = F.col("n_shingles") > 0
+    return found.select(
+        "doc_id", "key", "n_shingles",
+        F.when(full, F.col("least.doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(full, F.col("at") == F.col("least.at")).otherwise(True).alias("kept"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
@@ -236,5 +242,9 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     names = docs.columns
     keyed = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("key"),
                         F.struct(*names).alias("row"))
-    kept = groups(docs).where("kept").select("key")
-    return keyed.join(kept, "key", "left_semi").select(*[F.col("row")[c].alias(c) for c in names])
+    blank = F.coalesce(F.col("row.text").rlike(r"^[\x20\x09-\x0D]*\z"), F.lit(True))
+    kept = groups(docs).where("kept AND n_shingles > 0").select("key")
+    # One row of each key: repeats are merged before the exchange.
+    full = keyed.where(~blank).dropDuplicates(["key"]).join(kept, "key", "left_semi")
+    return full.select("row").union(keyed.where(blank).select("row")).select(
+        *[F.col("row")[c].alias(c) for c in names])

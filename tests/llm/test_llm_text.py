@@ -1,5 +1,6 @@
 """Language, decontamination, near duplicates, toxicity, mixing, language model."""
 
+import hashlib
 import math
 import zlib
 
@@ -128,6 +129,33 @@ def test_near_duplicates_of_edge_rows(edge_docs, no_docs):
     assert near_dedup.groups(no_docs).count() == 0
 
 
+def test_one_row_of_each_group_stays(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "TILE", 1)
+    base = [f"w{i}" for i in range(40)]
+    near = [" ".join([*base[:-1], f"x{i}"]) for i in range(3)]
+    rows = [(1, near[0])] * 20 + [(1, near[1])] * 5 + [(2, near[2])] + [
+        (None, near[0])] * 3 + [(None, "a group of copies that all lack an id")] * 4 + [
+        (None, " ")] * 2 + [(7, "")] * 2 + [(8, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = near_dedup.groups(docs).collect()
+    assert len(found) == len(rows)
+    assert sorted((r.component_id for r in found if r.kept and r.n_shingles), key=str) == [1, None]
+    kept = [tuple(r) for r in near_dedup.one_of_each(docs).collect()]
+    first = min(near[:2], key=lambda t: hashlib.md5(f"+1\x1f+{t}".encode()).digest())
+    assert by_text(kept) == by_text([(1, first), rows[-6], *rows[-5:]])
+
+
+def test_repeats_of_a_row_reach_the_tiles_once(spark, monkeypatch):
+    base = [f"w{i}" for i in range(40)]
+    rows = [(1, " ".join(base))] * 50 + [(2, " ".join([*base[:-1], "x"]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    seen = []
+    plain_sets = near_dedup.full_sets
+    monkeypatch.setattr(near_dedup, "full_sets", lambda t: seen.append(t.count()) or plain_sets(t))
+    assert sum(r.kept for r in near_dedup.groups(docs).collect()) == 1
+    assert seen == [2]
+
+
 def test_clusters_of_many_tiles_keep_every_link(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "TILE", 4)
     base = [f"w{i}" for i in range(60)]
