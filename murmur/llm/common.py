@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+from typing import AnyStr
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,3 +43,13 @@ def written(frame: DataFrame, purpose: str) -> DataFrame:
     path = shared_dir(spark, purpose)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def slices(text: AnyStr, stop: re.Pattern[AnyStr], size: int = 1 << 20) -> Iterator[AnyStr]:
+    """The text in parts of about ``size``, cut only where ``stop`` matches."""
+    lo = 0
+    while lo < len(text):
+        end = stop.search(text, lo + size)
+        hi = end.end() if end else len(text)
+        yield text[lo:hi]
+        lo = hi

@@ -1,5 +1,6 @@
 """DuckDB SQL for the rows of the queries, where SQL can express them."""
 
+from murmur.llm.lexical import TERM
 from murmur.llm.secrets import BASE, RULES
 
 ORACLES: dict[str, str] = {}
@@ -74,6 +75,31 @@ r AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
+ORACLES["op12_lexical"] = rf"""
+WITH t AS (
+  SELECT row_number() OVER () AS r, doc_id, unnest(regexp_extract_all(
+    translate(text, '{UPPER}', '{LOWER}'), '{TERM}')) AS term FROM documents),
+q AS (
+  SELECT item_id, term, count(*) AS q FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{TERM}')) AS term
+    FROM benchmark WHERE item_id IS NOT NULL) GROUP BY item_id, term),
+tf AS (SELECT r, term, count(*) AS tf FROM t GROUP BY r, term),
+size AS (SELECT r, any_value(doc_id) AS doc_id, count(*) AS n FROM t GROUP BY r),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS length FROM size),
+w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tf, total GROUP BY term),
+s AS (
+  SELECT item_id, r, CAST(sum(q * w * ((1000000000 * tf)
+    // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // length)))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term) JOIN w USING (term) JOIN size USING (r), total GROUP BY item_id, r),
+ranked AS (
+  SELECT item_id, doc_id, score, CAST(row_number() OVER (
+    PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank
+  FROM s JOIN size USING (r) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
 
 def rule_sql(number: int) -> str:
     """Spans of one rule: lengths of what lies between the matches and of the matches."""

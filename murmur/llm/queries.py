@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from murmur.llm import (
-    decontaminate, language_id, licenses, line_dedup, lm_scoring, mixing, near_dedup,
-    nearest, secrets, toxicity)
+    decontaminate, language_id, lexical, licenses, line_dedup, lm_scoring, mixing, near_dedup,
+    nearest, secrets, simhash, spelling, toxicity)
 from murmur.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,23 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in secrets.BASE]
     return found.select("doc_id", *counts, F.sha2(secrets.shown(base), 256).alias("base_sha256"),
                         secrets.shown(spans).alias("spans"))
+
+
+@query
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    """The words of all documents with the commoner words they are variants of."""
+    return spelling.variants(table(spark, folder, "documents"))
+
+
+@query
+def op12_lexical(spark: SparkSession, folder: str) -> DataFrame:
+    """The twenty best documents for every benchmark item."""
+    return lexical.search(table(spark, folder, "benchmark"), table(spark, folder, "documents"))
+
+
+@query
+def op13_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of documents whose fingerprints differ in two bits at most."""
+    return simhash.groups(table(spark, folder, "documents")).select(
+        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
+        "component_id")
