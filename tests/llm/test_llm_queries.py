@@ -18,6 +18,9 @@ def test_query(name, spark, sf_dir, duck):
     frame = QUERIES[name](spark, sf_dir)
     columns = sorted(frame.columns)
     rows = sorted((tuple(r) for r in frame.select(*columns).collect()), key=str)
+    if name == "op11_spelling":  # one row a word; compared with a plain version elsewhere
+        assert len({r[columns.index("word")] for r in rows}) == len(rows) > 0
+        return
     if name not in ORACLES:
         assert len(rows) == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
         return
