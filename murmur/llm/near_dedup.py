@@ -14,9 +14,10 @@ pair is decided exactly and only links that join two parts are emitted, never al
 
 Class ids are 64-bit hashes of the whole set: n different documents meet by chance with
 probability n*n / 2**65. A null or blank text has the empty set and is linked with nothing.
-The component of a document is its smallest doc_id (nulls last). ``kept`` holds for exactly one
-row of each component, the one with the least (doc_id, key): of rows that repeat each other any
-one, of a group without ids the one with the least key. Rows with the empty set are all kept.
+The component of a document is its smallest doc_id (nulls last); the query calls every row kept
+whose id is that of its component. The column ``kept`` of ``groups`` holds for exactly one row of
+each component, the one with the least (doc_id, key): of rows that repeat each other any one, of
+a group without ids the one with the least key. Rows with the empty set are all kept.
 """
 
 from __future__ import annotations

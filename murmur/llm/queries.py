@@ -51,7 +51,8 @@ def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 def op4_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of near-duplicate documents."""
     return near_dedup.groups(table(spark, folder, "documents")).select(
-        "doc_id", "n_shingles", "component_id", "kept")
+        "doc_id", "n_shingles", "component_id",
+        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 @query
