@@ -1,7 +1,8 @@
 """Language by compression: the language whose dictionary makes a text smallest.
 
-Every language has ``PARTS`` raw-content zstandard dictionaries, cut from a bounded sample of
-labelled rows. A whole text, reduced to lower-case letters and blanks, is compressed with the
+Every language has ``PARTS`` raw-content zstandard dictionaries of up to ``DICT_BYTES``. They are
+filled with pieces of ``PIECE`` characters of a bounded sample of labelled rows, in the order of
+a hash of row and place, so they come from all over the whole texts. A whole text, reduced to lower-case letters and blanks, is compressed with the
 first dictionary of each language; if the two smallest sizes differ by fewer than ``CLOSE``
 bytes, the other dictionaries are used too and the sums decide. A text is rejected if the
 margin is still under ``min_margin`` bytes, or if it is null or has no letter (``und``).
@@ -16,7 +17,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,8 +25,12 @@ UNKNOWN = "und"
 LEVEL = 5
 PARTS = 3
 DICT_BYTES = 64 << 10
-#: Bounds of the sample: rows per language (expected), characters of each used.
-SAMPLE_ROWS, SAMPLE_CHARS = 200, 4000
+#: Bounds of the sample: rows per language (expected), and languages.
+SAMPLE_ROWS, LANGUAGES = 200, 1000
+#: Characters of a piece, and pieces of a language: half of them fill its dictionaries, unless
+#: a piece has few letters.
+PIECE = 400
+PIECES = 2 * PARTS * DICT_BYTES // PIECE
 CLOSE = 8
 HASH_RANGE = 1 << 30
 
@@ -43,22 +48,32 @@ def letters(text: str | None) -> str:
 def learn(docs: DataFrame, usable: Column | None = None) -> Model:
     """Dictionaries per language from rows with text and lang for which ``usable`` holds.
 
-    About ``SAMPLE_ROWS`` rows of each language, chosen by hash, are brought to the driver.
+    Of about ``SAMPLE_ROWS`` rows of each language, chosen by hash, at most ``PIECES`` pieces
+    are brought to the driver. There may be at most ``LANGUAGES`` different values of lang.
     """
     rows = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
     if usable is not None:
         rows = rows.where(usable)
     rows = rows.select("lang", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(HASH_RANGE))
                        .alias("h"))
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().limit(
+        LANGUAGES + 1).collect()}
+    if len(counts) > LANGUAGES:
+        raise ValueError(f"lang has more than {LANGUAGES} values")
     if not counts:
         return {}
     limit = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in
                            (lang, min(HASH_RANGE, math.ceil(SAMPLE_ROWS / n * HASH_RANGE)))])
-    sample = rows.where(F.col("h") < limit[F.col("lang")]).select(
-        "lang", "h", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+    places = F.sequence(F.lit(0), F.ceil(F.length("text") / PIECE).cast("int"))
+    pieces = rows.where(F.col("h") < limit[F.col("lang")]).select(
+        "lang", "h", "text", F.explode(places).alias("place")).select(
+        "lang", F.xxhash64("h", "place").alias("h"),
+        F.expr(f"substring(text, place * {PIECE} + 1, {PIECE})").alias("text"))
+    order = Window.partitionBy("lang").orderBy("h", "text")
+    sample = pieces.withColumn("number", F.row_number().over(order)).where(
+        F.col("number") <= PIECES)
     texts: dict[str, list[str]] = {lang: [] for lang in counts}
-    for row in sorted(sample.collect(), key=lambda r: (r["lang"], r["h"], r["text"])):
+    for row in sorted(sample.collect(), key=lambda r: (r["lang"], r["number"])):
         if clean := letters(row["text"]):
             texts[row["lang"]].append(clean)
     return {lang: [" ".join(own[i::PARTS]).encode()[:DICT_BYTES] for i in range(PARTS)]
