@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re._constants as sre
 import re._parser as sre_parser
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -50,6 +51,9 @@ BASE = [r.kind for r in RULES[:3]]
 #: Beyond so many ways to spell a part of a pattern, the part counts as unknown.
 MOST_WAYS = 64
 
+#: Matches whose places are summed up in one go.
+BLOCK = 128
+
 Way = tuple[str, ...]  # literal runs with something unknown between them
 
 
@@ -126,21 +130,45 @@ def matches(text: Column, rule: Rule) -> Column:
     whole = F.regexp_extract_all(text, pattern, F.lit(0))
     checked = F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else whole
     before = F.split(text, rule.pattern, -1)
-    empty = F.array().cast("array<struct<start:int,number:int,end:int,kind:string>>")
-
-    def step(acc: Column, m: Column) -> Column:
-        start = acc["at"] + F.length(m["before"])
-        end = start + F.length(m["whole"])
-        span = F.struct(start.alias("start"), F.lit(number).alias("number"), end.alias("end"),
-                        F.lit(rule.kind).alias("kind"))
-        return F.struct(end.alias("at"), F.when(
-            F.length(m["checked"]) >= rule.least, F.array_append(acc["found"], span)).otherwise(
-            acc["found"]).alias("found"))
-
-    zipped = F.arrays_zip(F.slice(before, 1, F.size(whole)).alias("before"),
-                          whole.alias("whole"), checked.alias("checked"))
-    return F.aggregate(zipped, F.struct(F.lit(0).alias("at"), empty.alias("found")), step,
-                       lambda acc: acc["found"])
+    sizes = F.zip_with(F.slice(before, 1, F.size(whole)), F.arrays_zip(
+        whole.alias("whole"), checked.alias("checked")), lambda b, m: F.struct(
+        F.length(b).alias("before"), F.length(m["whole"]).alias("whole"),
+        F.length(m["checked"]).alias("checked")))
+
+    def spans(sizes: Column) -> Column:
+        return F.zip_with(ends_of(sizes), sizes, lambda end, m: F.struct(
+            (end - m["whole"]).alias("start"), F.lit(number).alias("number"), end.alias("end"),
+            F.lit(rule.kind).alias("kind"), m["checked"].alias("checked")))
+
+    return F.transform(F.filter(once(sizes, spans), lambda s: s["checked"] >= rule.least),
+                       lambda s: s.dropFields("checked"))
+
+
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of the value, which is computed once however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def ends_of(sizes: Column) -> Column:
+    """Running sums of before + whole. A growing array is copied at every step, so the sums
+    run within blocks of ``BLOCK`` matches, and once over the sums of the blocks."""
+    none = F.array().cast("array<int>")
+
+    def running(steps: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), none.alias("sums"))
+        return F.aggregate(steps, start, lambda acc, n: F.struct(
+            (acc["at"] + n).alias("at"), F.array_append(acc["sums"], acc["at"] + n).alias("sums")),
+            lambda acc: acc["sums"])
+
+    def shifted(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda b: F.coalesce(F.try_element_at(b, F.lit(-1)), F.lit(0)))
+        return once(totals, lambda t: F.flatten(F.zip_with(
+            blocks, F.zip_with(running(t), t, lambda s, own: s - own),
+            lambda b, base: F.transform(b, lambda x: x + base))))
+
+    first = F.sequence(F.lit(1), F.greatest(F.size(sizes), F.lit(1)), F.lit(BLOCK))
+    return once(F.transform(first, lambda i: running(F.transform(
+        F.slice(sizes, i, BLOCK), lambda m: m["before"] + m["whole"]))), shifted)
 
 
 def scan(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
