@@ -3,10 +3,15 @@
 A classifier trained on a labelled table (doc_id, domain) gives every document a posterior over
 the domains: hashed-word log-odds and the text's shape go into a multinomial logistic
 regression. Then every document gets a rate r >= 0, starting at 1, so that the expected tokens
-of each domain, the sum of r * tokens * posterior, come to the targets: least squares, with each
-domain's error in units of its own curvature, by projected gradient steps
-r = max(0, r - step * posterior . error). A step needs one pass, which brings one sum per domain
-to the driver; the rates themselves stay with the rows, as a fold over the steps' errors.
+of each domain, the sum of r * tokens * posterior, come to the targets: least squares by projected
+gradient steps r = max(0, r - posterior . inverse(C) . error), in the metric of the curvature
+C = sum of tokens * posterior * posterior' over the rows whose rate is not 0. Where such a step
+makes the errors larger, the next one takes C over all rows, in whose metric the gradient's
+Lipschitz constant is 1, so that whole steps converge. A step needs one pass, which brings sums
+per domain to the driver; the rates themselves stay with the rows, as a fold over the steps. The
+steps end when the errors come to ``CLOSE`` of all tokens, or stand still (``STILL``) because
+rates of 0 and more cannot come nearer. What is left is the column ``residual``, the same in
+every row; a residual beyond ``CLOSE`` is also a warning.
 
 A rate becomes copies by hash: its whole part, and one more with the probability of the rest.
 Null and blank texts have no tokens, a posterior like any other and the rate that follows from
@@ -16,6 +21,7 @@ by name counts. Without labels all domains are equally likely; an empty table gi
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,7 +40,8 @@ BUCKETS = 1 << 16
 SAMPLE_ROWS, HASH_RANGE = 20_000, 1 << 30
 #: Documents' worth of prior in the odds of a word.
 PRIOR_TEXTS = 5.0
-STEPS, CLOSE = 60, 1e-4
+#: Errors, and their change in one step, in units of all wanted tokens; most steps ever taken.
+CLOSE, STILL, STEPS = 1e-4, 1e-8, 200
 
 
 def bucket(w: Words) -> np.ndarray:
@@ -180,33 +187,32 @@ def rate(steps: list[np.ndarray]) -> Column:
     return F.aggregate(wanted, F.lit(1.0), step)
 
 
-def fit_rates(rows: DataFrame, targets: list[float]) -> list[np.ndarray]:
-    """Steps of the projected gradient for rows with n_tokens and posterior p."""
+def fit_rates(rows: DataFrame, targets: list[float]) -> tuple[list[np.ndarray], float]:
+    """Steps of the projected gradient for rows with n_tokens and posterior p, and the errors
+    that they leave, in units of the targets' sum."""
     k = len(targets)
-    cells = [F.sum(F.col("n_tokens") * F.col("p")[i] * F.col("p")[j]) for i in range(k)
-             for j in range(k)]
-    curvature = np.array([float(x or 0) for x in rows.agg(*cells).first()]).reshape(k, k)
-    own = np.maximum(np.diag(curvature), 1e-12)
-    bound = np.linalg.eigvalsh(curvature / np.sqrt(np.outer(own, own))).max()
     wanted = np.array(targets)
+    unit = max(wanted.sum(), 1e-12)
     steps: list[np.ndarray] = []
-    before = np.full(k, np.inf)
-    for _ in range(STEPS):
-        sums = rows.select((rate(steps) * F.col("n_tokens")).alias("w"), "p").agg(
-            *(F.sum(F.col("w") * F.col("p")[i]) for i in range(k))).first()
-        error = np.array([float(x or 0) for x in sums]) - wanted
-        near = CLOSE * max(wanted.sum(), 1e-12)
-        # Reached, or as near as rates of 0 and more can come.
-        if np.abs(error).sum() <= near or np.abs(error - before).sum() <= near / 20:
-            break
-        steps.append(error / own / bound)
-        before = error
-    return steps
+    whole, least, before = None, np.inf, np.full(k, np.inf)
+    while True:
+        rated = rows.select("n_tokens", "p", rate(steps).alias("r"))
+        own = [F.sum(F.col("r") * F.col("n_tokens") * F.col("p")[i]) for i in range(k)]
+        moving = F.when(F.col("r") > 0, F.col("n_tokens"))
+        cells = [F.sum(moving * F.col("p")[i] * F.col("p")[j]) for i in range(k) for j in range(k)]
+        sums = np.array([float(x or 0) for x in rated.agg(*own, *cells).first()])
+        error, curvature = sums[:k] - wanted, sums[k:].reshape(k, k)
+        whole = curvature if whole is None else whole  # all rates are 1 at first
+        left = float(np.abs(error).sum() / unit)
+        if left <= CLOSE or np.abs(error - before).sum() / unit <= STILL or len(steps) == STEPS:
+            return steps, left
+        steps.append(np.linalg.pinv(curvature if left < least else whole, hermitian=True) @ error)
+        least, before = min(least, left), error
 
 
 def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], budget: float = 1.0,
         keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """row (a struct of the columns to ``keep``), n_tokens, p (posteriors), rate, copies.
+    """row (a struct of the columns to ``keep``), n_tokens, p (posteriors), rate, copies, residual.
 
     ``targets`` are shares of the tokens by domain; p is in the order of their names. The mix
     shall have ``budget`` times the tokens there are.
@@ -218,11 +224,14 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], budget:
     slim = rows.select("n_tokens", "p").persist(StorageLevel.MEMORY_AND_DISK)
     total = float(slim.agg(F.sum("n_tokens")).first()[0] or 0)
     weight = sum(targets.values())
-    steps = fit_rates(slim, [total * budget * targets[d] / weight for d in domains])
+    steps, residual = fit_rates(slim, [total * budget * targets[d] / weight for d in domains])
     slim.unpersist()
+    if residual > CLOSE and total:
+        warnings.warn(f"the mix misses its targets by {residual:.2g} of all tokens", stacklevel=2)
     chance = F.pmod(F.xxhash64("row", F.lit("copies")), F.lit(HASH_RANGE)) / HASH_RANGE
     return rows.withColumn("rate", rate(steps)).withColumn("copies", F.floor("rate") + (
-        chance < F.col("rate") - F.floor("rate")).cast("long"))
+        chance < F.col("rate") - F.floor("rate")).cast("long")).withColumn(
+        "residual", F.lit(residual))
 
 
 def mixed_rows(docs: DataFrame, labelled: DataFrame, targets: dict[str, float],

@@ -72,7 +72,7 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     found = mixing.mix(docs, mixing.domains_of(labels), mixing.TARGETS)
     shares = [F.col("p")[i].alias(f"p_{d}") for i, d in enumerate(sorted(mixing.TARGETS))]
-    return found.select("row.doc_id", "n_tokens", *shares, "rate", "copies")
+    return found.select("row.doc_id", "n_tokens", *shares, "rate", "copies", "residual")
 
 
 @query
