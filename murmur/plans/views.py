@@ -69,9 +69,9 @@ def posts_from(ev: DataFrame) -> DataFrame:
         media.alias("media_type"), F.col("value").alias("engagement_score"), "k")
 
 
-def _reaction(t: Tables, event_type: str, name: str, reach: int) -> DataFrame:
+def reactions_from(ev: DataFrame, event_type: str, name: str, reach: int) -> DataFrame:
     post = F.col("event_id") - 1 - F.col("k") % reach
-    return (t.ev.filter(F.col("event_type") == event_type)
+    return (ev.filter(F.col("event_type") == event_type)
             .select(F.col("event_id").alias(name), post.alias("post_id"), "user_id", "ts")
             .filter(F.col("post_id") >= 0))
 
@@ -143,8 +143,8 @@ VIEWS = {
     "ev": lambda t: event_rows(t.events),
     "interactions": lambda t: interactions_from(t.ev),
     "posts": lambda t: posts_from(t.ev),
-    "likes": lambda t: _reaction(t, "click", "like_id", 7),
-    "comments": lambda t: _reaction(t, "signup", "comment_id", 5),
+    "likes": lambda t: reactions_from(t.ev, "click", "like_id", 7),
+    "comments": lambda t: reactions_from(t.ev, "signup", "comment_id", 5),
     "users": _users,
     # Some users have no profile, for the joins that must meet that.
     "profiles": lambda t: t.users.filter(F.col("balance") >= 0),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -50,15 +51,21 @@ def build_session(master: str, shuffle_partitions: int, driver_memory: str = "8g
     return spark
 
 
+#: Scratch folders of local sessions that name none, by application.
+LOCAL_ROOTS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only a local session may fall back to a folder of this machine.
+    Only a local session may fall back to a folder of this machine, one per application.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="murmur-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        application = spark.sparkContext.applicationId
+        if application not in LOCAL_ROOTS:
+            LOCAL_ROOTS[application] = tempfile.mkdtemp(prefix="murmur-")
+        root = LOCAL_ROOTS[application]
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -91,6 +91,37 @@ def interval_join(posts: DataFrame, likes: DataFrame, reach: str, delay: str,
         F.col("l.like_id").alias("like_id"))
 
 
+def interval_left_counts(posts: DataFrame, likes: DataFrame, comments: DataFrame, reach: str,
+                         size: str, delay: str, min_score: int) -> DataFrame:
+    """Hourly engagement of posts by two left interval joins in a row and an aggregate.
+
+    As in ``operators.joins.interval_counts`` likes and comments multiply, and the window is that
+    of the post. A post without a partner leaves a join, with nulls, once the watermark has
+    passed its reach; every join holds the watermark of what it passes on back by its reach, so
+    that a window closes when no post of it can change any more. Append mode only.
+    """
+    p = posts.withWatermark("ts", delay).select(
+        "post_id", "user_id", "content", F.col("ts").alias("post_ts"))
+    like = likes.withWatermark("ts", delay).select(
+        F.col("post_id").alias("liked"), "like_id", F.col("ts").alias("like_ts"))
+    comment = comments.withWatermark("ts", delay).select(
+        F.col("post_id").alias("commented"), "comment_id", F.col("ts").alias("comment_ts"))
+
+    def near(key: str, ts: str) -> Column:
+        return F.expr(f"post_id = {key} AND {ts} >= post_ts - INTERVAL {reach} "
+                      f"AND {ts} <= post_ts + INTERVAL {reach}")
+
+    pairs = p.join(like, near("liked", "like_ts"), "left").join(
+        comment, near("commented", "comment_ts"), "left")
+    out = pairs.groupBy(F.window("post_ts", size), "post_id").agg(
+        F.any_value("user_id").alias("user_id"), F.any_value("content").alias("content"),
+        F.count("like_id").alias("total_likes"), F.count("comment_id").alias("total_comments"))
+    score = F.col("total_likes") + 3 * F.col("total_comments")
+    return out.select("post_id", "user_id", "content", F.unix_seconds("window.start").alias(
+        "window_start"), "total_likes", "total_comments", score.alias("engagement_score")).where(
+        F.col("engagement_score") > min_score)
+
+
 def once_per_id(df: DataFrame, key: str, memory: str) -> DataFrame:
     """The first row per id; ids are forgotten after ``memory``."""
     return df.withWatermark("ts", memory).dropDuplicatesWithinWatermark([key])
