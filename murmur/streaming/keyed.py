@@ -39,15 +39,19 @@ class Keyed(StatefulProcessor):
 
 # Conflict resolution
 
+def later(old: Any, new: Any) -> bool:
+    return old is not None and new is not None and new > old
+
+
 def last_write(old: Record, new: Record) -> Record:
     """The newer copy by update, else creation; the older one where a time is missing."""
-    before, now = (r["updated_at"] or r["created_at"] for r in (old, new))
-    return new if before and now and now > before else old
+    return new if later(*(r["created_at"] if r["updated_at"] is None else r["updated_at"]
+                          for r in (old, new))) else old
 
 
 def merged_content(old: Record, new: Record) -> Record:
     """The newer copy by update, with the higher score."""
-    if not (old["updated_at"] and new["updated_at"] and new["updated_at"] > old["updated_at"]):
+    if not later(old["updated_at"], new["updated_at"]):
         return old
     return new | {"engagement_score": max(old["engagement_score"] or 0.0,
                                           new["engagement_score"] or 0.0)}
@@ -58,16 +62,14 @@ def merged_profile(old: Record, new: Record) -> Record:
     out = old | {c: v for c, v in new.items() if v is not None} | {"username": new["username"]}
     for c in ("follower_count", "following_count", "engagement_rate"):
         out[c] = max(old[c] or 0, new[c] or 0)
-    both = old["updated_at"] and new["updated_at"]
-    out["updated_at"] = max(old["updated_at"], new["updated_at"]) if both else new["updated_at"]
+    out["updated_at"] = (old if later(new["updated_at"], old["updated_at"]) else new)["updated_at"]
     return out
 
 
 def newer_version(old: Record, new: Record) -> Record:
     """By sequence within a source, by time across sources."""
     by = "sequence" if old["source"] == new["source"] else "updated_at"
-    before, now = old[by], new[by]
-    return new if before is not None and now is not None and now > before else old
+    return new if later(old[by], new[by]) else old
 
 
 RULES: dict[str, Rule] = {"user_profile": merged_profile, "content_metadata": merged_content,
@@ -134,13 +136,22 @@ def resolved(copies: DataFrame, known: DataFrame | None = None,
     the past; the stream goes on from it.
     """
     keys = ["record_type", "record_id"]
-    columns = [*keys, *record.names, INTERESTS.name]
+    times = [f.name for f in record.fields if isinstance(f.dataType, T.TimestampType)]
+    # Times are kept as microseconds: what a state gives back has no time zone.
+    kept = T.StructType([T.StructField(f.name, T.LongType()) if f.name in times else f
+                         for f in record.fields])
+
+    def plain(rows: DataFrame) -> DataFrame:
+        rows = rows.select(*keys, *record.names, INTERESTS.name)
+        return rows.withColumns({c: F.unix_micros(c) for c in times})
+
     out = T.StructType([
         T.StructField("record_type", T.StringType()), copies.schema["record_id"],
-        T.StructField("arrival", T.LongType()), *record.fields, INTERESTS])
-    start = None if known is None else known.select(*columns).groupBy(*keys)
-    return copies.select(*columns).groupBy(*keys).transformWithState(
-        Resolver(out, record), out, "Append", "None", start)
+        T.StructField("arrival", T.LongType()), *kept.fields, INTERESTS])
+    start = None if known is None else plain(known).groupBy(*keys)
+    found = plain(copies).groupBy(*keys).transformWithState(
+        Resolver(out, kept), out, "Append", "None", start)
+    return found.withColumns({c: F.timestamp_micros(c) for c in times})
 
 
 # First results of repeated requests
