@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from murmur import fixed_values as fv
 from murmur import schemas
 from murmur.plans.registry import query
+from murmur.streaming import runner
 from murmur.sources import files, messages, tables
 
 SEC = "epoch_us(ts) // 1000000"
@@ -113,6 +114,14 @@ def _(t):
     return found.select("file_id", "filename", "size_bytes", "checksum", "mime_type")
 
 
+@query("src_file_metadata_stream")
+def _(t):
+    """Files of the tables as they arrive; a restart would read only newer ones."""
+    found = files.file_metadata_stream(t.spark, t.folder, "*.parquet")
+    return runner.finished(t.spark, found, "files").select(
+        "file_id", "filename", "size_bytes", "checksum", "mime_type")
+
+
 @query("src_page_metadata", "", f"""
 SELECT substr(sum, 1, 16) AS file_id, name AS filename, octet_length(encode(html)) AS size_bytes,
   sum AS checksum, CASE lower(regexp_extract(name, '[^.](\\.[^.]+)$', 1))
@@ -123,7 +132,8 @@ def _(t):
     """The same description of stored pages."""
     content = F.encode("html", "UTF-8")
     pages = t.pages.select(F.col("url").alias("path"), F.length(content).cast("long").alias(
-        "length"), F.lit(None).cast("timestamp").alias("modificationTime"), content.alias("content"))
+        "length"), F.lit(None).cast("timestamp").alias("modificationTime"),
+        F.sha2(content, 256).alias("checksum"))
     return files.described(pages).select(
         "file_id", "filename", "size_bytes", "checksum", "mime_type")
 
