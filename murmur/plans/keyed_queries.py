@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from murmur.plans.registry import query
 from murmur.plans.row_queries import joined, rounded
-from murmur.plans.stream_queries import LIMIT_SQL, SEC, TAGS_SQL, events, tags_of
+from murmur.plans.stream_queries import LIMIT_SQL, SEC, TAGS_SQL, events, staged, tags_of
 from murmur.plans.views import posts_from, reactions_from
-from murmur.streaming import keyed, runner, windows
+from murmur.session import shared_dir
+from murmur.streaming import keyed, runner, sinks, state, windows
 
 TYPES = ("user_profile", "content_metadata", "versioned", "comment")
 
@@ -148,3 +149,70 @@ def _(t):
         posts_from(events(t)), reactions_from(events(t), "click", "like_id", 7),
         reactions_from(events(t), "signup", "comment_id", 5), "1 HOUR", "1 hour", "10 minutes", 3)
     return runner.finished(t.spark, out, "interval-left")
+
+
+def kept_counts(t):
+    """Events by user in the state of a finished stream, and its checkpoint."""
+    target = shared_dir(t.spark, "state")
+    counts = events(t).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    runner.each_batch(counts, lambda batch, batch_id: batch.write.format("noop").mode(
+        "overwrite").save(), f"{target}/checkpoint")
+    return state.rows(t.spark, f"{target}/checkpoint"), f"{target}/checkpoint"
+
+
+def shown(rows, *more):
+    return rows.select("key.user_id", F.col("value.count").alias("n"), *more)
+
+
+@query("st_state_key", "ev", """
+SELECT user_id, count(*) AS n FROM ev WHERE user_id = (SELECT min(user_id) FROM ev) GROUP BY user_id""")
+def _(t):
+    """The state of one key, read from its partition."""
+    rows, checkpoint = kept_counts(t)
+    user = t.ev.agg(F.min("user_id")).first()[0]
+    return shown(state.at_key(rows, checkpoint, user_id=user))
+
+
+@query("st_state_top", "ev", """
+SELECT user_id, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, user_id) AS rank
+FROM ev GROUP BY user_id QUALIFY rank <= 10""")
+def _(t):
+    """The ten largest counts in the state."""
+    rows, _ = kept_counts(t)
+    order = [F.desc("value.count"), F.asc("key.user_id")]
+    return shown(state.largest(rows, order, 10), "rank")
+
+
+@query("st_state_range", "ev", """
+SELECT user_id, count(*) AS n FROM ev WHERE user_id BETWEEN 10 AND 60 GROUP BY user_id""")
+def _(t):
+    """The state of a range of keys."""
+    rows, _ = kept_counts(t)
+    return shown(state.between(rows, "key.user_id", 10, 60))
+
+
+@query("st_late_dropped", "ev", """
+WITH m AS (SELECT max(epoch_us(ts)) // 1000 - 600000 AS w FROM ev WHERE event_type <> 'error'),
+k AS (SELECT count(*) AS kept FROM ev, m WHERE event_type <> 'error'
+  OR (epoch_us(ts) // 1000000 // 3600 * 3600 + 3600) * 1000 > w)
+SELECT count(*) AS received, any_value(kept) AS kept, count(*) - any_value(kept) AS dropped FROM ev, k""")
+def _(t):
+    """How many rows came too late: those received less those that the windows hold."""
+    late = F.col("event_type") == "error"
+    target = shared_dir(t.spark, "late")
+    tables = []
+
+    def run(folder):
+        seen = events(t, folder).observe("arrived", F.count(F.lit(1)).alias("rows"))
+        out = windows.tumbling(seen, "event_type", "1 hour", "10 minutes")
+        tables.append(sinks.BatchTable(t.spark, f"{target}/rows", out.schema,
+                                       sinks.newest_by(["event_type", "window_start"])))
+        with counts:
+            runner.each_batch(out, tables[-1].write, f"{target}/checkpoint")
+
+    counts = state.BatchCounts(t.spark, "arrived")
+    staged(t, t.events.filter(~late), t.events.filter(late), after=run)
+    received = F.lit(counts.total("rows")).cast("long")
+    kept = F.coalesce(F.sum("n"), F.lit(0))
+    return tables[-1].current().agg(received.alias("received"), kept.alias("kept"),
+                                    (received - kept).alias("dropped"))
