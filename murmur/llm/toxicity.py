@@ -1,9 +1,11 @@
 """Toxicity of restored text: a noisy channel undoes leetspeak, spacing and repetition.
 
 A character trigram model is counted over all learning texts. Pieces of a text that look
-disguised (marks or digits between letters, three equal letters in a row, letters spaced one by
-one) become lattices of what each character may stand for; the best path under the model and
-the channel's costs is read in place of the piece, beside the words as written.
+disguised (marks or digits between letters; three equal letters in a row, or two pairs of equal
+ones in a word; letters with blanks, line ends or marks between them) become lattices of what
+each character may stand for; the best path under the model and the channel's costs is read in
+place of the piece, beside the words as written. Three and more groups of one or two letters are
+read as one word where the model finds that the likeliest division.
 
 What is toxic is learned from a bounded sample of about ``SAMPLE_ROWS`` labelled rows: for each
 word and each word beginning of 3 to 6 characters the smoothed share of toxic texts among those
@@ -33,8 +35,10 @@ from murmur.llm.tokens import LOWER
 # What marks and digits may stand for.
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g",
         "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l"}
-SEPARATORS = " .-*_,~/"
+SEPARATORS = " \t\n\r.-*_,~/"
 COST_LEET, COST_DROP, COST_BREAK = 1.0, 0.5, 0.5
+COST_PAIR = 2.0  # of reading two equal letters as one
+MOST_GROUPS = 10  # of one or two letters in a word
 COST_UNREAD = 7.0  # of a mark that stands for no letter
 
 SAMPLE_ROWS = 20_000
@@ -49,9 +53,11 @@ OTHER, EDGE, SYMBOLS = 26, 27, 28
 
 WORD = re.compile(r"[^\W\d_]+")
 LEET_MARKS = "".join(map(re.escape, LEET))
-SPACED = re.compile(rf"(?<![^\W_])(?:[^\W_{LEET_MARKS}][ .\-*_,~]|[{LEET_MARKS}][ .\-*_,~])"
-                    r"{2,}[^\W_](?![^\W_])")
-REPEATED = re.compile(r"([^\W\d_])\1\1")
+UNIT = rf"(?:[^\W_]|[{LEET_MARKS}])"
+BETWEEN = r"[\s.\-*_,~/]{1,3}"
+SPACED = re.compile(rf"(?<![^\W_]){UNIT}{BETWEEN}(?:{UNIT}{BETWEEN})+{UNIT}(?![^\W_])")
+GROUPS = re.compile(rf"\b\w\w?{BETWEEN}\w\w?{BETWEEN}\w\w?\b(?:{BETWEEN}\w\w?\b)*")
+REPEATED = re.compile(r"([^\W\d_])\1(?:\1|[^\W\d_]*([^\W\d_])\2)")
 INNER = re.compile(rf"[^\W\d_][\d\W_]+[^\W\d_]|[^\W\d_][{LEET_MARKS}]|[{LEET_MARKS}][^\W\d_]")
 
 
@@ -114,10 +120,12 @@ class Channel:
             if c.isalpha():
                 if j - i > 2:
                     out.append([(c, COST_DROP), (c * 2, COST_DROP)])
+                elif j - i == 2:
+                    out.append([(c * 2, 0.0), (c, COST_PAIR)])
                 else:
-                    out += [[(c, 0.0)]] * (j - i)
+                    out.append([(c, 0.0)])
             elif c in LEET:
-                out += [[(x, COST_LEET) for x in LEET[c]] + [("", COST_UNREAD), (" ", COST_UNREAD)]] * min(j - i, 3)
+                out += [[(x, COST_LEET) for x in LEET[c]] + [("", COST_UNREAD), (" ", COST_UNREAD)]] * (j - i)
             elif c in SEPARATORS:
                 out.append([("", COST_DROP), (" ", COST_BREAK)])
             else:
@@ -157,15 +165,53 @@ class Channel:
         """All words as written, then the words of the restored pieces."""
         text = (text or "").lower()
         out = WORD.findall(text)
-        repeats = REPEATED.search(text) is not None
+        pieces = {m[0] for m in SPACED.finditer(text)}
         for token in set(text.split()):
             core = token.strip(".,;:?\"'()[]{}<>#%&*~^=`")
-            if (not core.isalpha() and disguised(core)) or (repeats and REPEATED.search(core)):
-                out += WORD.findall(self.restored(core))
-        for m in SPACED.finditer(text):
-            out += WORD.findall(self.restored(m[0]))
+            if not core.isalpha() and disguised(core):
+                pieces.add(core)
+        hi = 0
+        for m in REPEATED.finditer(text):
+            if m.start() < hi:
+                continue  # in the same token as the match before
+            lo, hi = m.span()
+            while lo and not text[lo - 1].isspace():
+                lo -= 1
+            while hi < len(text) and not text[hi].isspace():
+                hi += 1
+            pieces.add(text[lo:hi])
+        for m in GROUPS.finditer(text):
+            out += self.regrouped(WORD.findall(m[0]))
+        for piece in sorted(pieces):
+            out += WORD.findall(self.restored(piece))
         return out
 
+    def regrouped(self, groups: list[str]) -> list[str]:
+        """The words of three and more groups in the likeliest division into words."""
+        best, first = [0.0], [0]
+        for i in range(1, len(groups) + 1):
+            choices = [(best[j] + self.likely("".join(groups[j:i])), j)
+                       for j in range(max(0, i - MOST_GROUPS), i)]
+            value, j = max(choices)
+            best.append(value)
+            first.append(j)
+        out, i = [], len(groups)
+        while i:
+            if i - first[i] > 2:
+                out.append("".join(groups[first[i]:i]))
+            i = first[i]
+        return out
+
+    def likely(self, word: str) -> float:
+        """Log-probability of a word and its end."""
+        a = b = EDGE
+        total = 0.0
+        for c in word + " ":
+            s = symbol(c)
+            total += self.model[a][b][s]
+            a, b = b, s
+        return total
+
 
 def disguised(token: str) -> bool:
     """Whether a token has marks or digits beside its letters."""

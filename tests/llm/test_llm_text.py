@@ -190,9 +190,16 @@ def test_disguised_words_are_restored(spark):
     docs = spark.createDataFrame([(t,) for t in texts], "text string")
     channel = toxicity.Channel(toxicity.character_model(toxicity.character_counts(docs)))
     for piece, word in [("1d10t", "idiot"), ("s t u p i d", "stupid"), ("l0s3r", "loser"),
-                        ("m.o.r.o.n", "moron"), ("stuuuupid", "stupid"), ("$tup1d", "stupid")]:
+                        ("m.o.r.o.n", "moron"), ("stuuuupid", "stupid"), ("$tup1d", "stupid"),
+                        ("iidiioott", "idiot"), ("ssttupiidd", "stupid"), ("i  d  i  o  t", "idiot"),
+                        ("i\td\ti\to\tt", "idiot"), ("i\nd\ni\no\nt", "idiot"),
+                        ("i - d - i - o - t", "idiot"),
+                        ("i d i o +", "idiot"), ("l 0 s e r", "loser"), ("idi!!!!!!!!ot", "idi")]:
         assert word in channel.words(f"so {piece} it is"), piece
     assert channel.words(None) == [] == channel.words("")
+    assert "stupid" in channel.words("said st up id loser")
+    assert channel.words("so it is in the") == ["so", "it", "is", "in", "the"]
+    assert len(channel.words("aabb" * 20_000)) <= 2
 
 
 def test_toxicity_of_held_out_documents(spark):
