@@ -125,18 +125,10 @@ def _text_posts(t: Tables) -> DataFrame:
 
 
 def edges_of(t: Tables) -> DataFrame:
-    """Friends: the followers of a user are the customers one to three places on
-    among those of the same nation, so every user has at most three."""
-    from murmur.functions import scans
-
-    c = t.customer.select("c_custkey", "c_nationkey")
-    placed = scans.row_numbers(c, ["c_nationkey"], ["c_custkey"],
-                               scans.by_offset("c_custkey"), "place")
-    ahead = F.array(*[F.col("place") + step for step in (1, 2, 3)])
-    left = placed.select(F.col("c_custkey").alias("user_id"), "c_nationkey",
-                         F.explode(ahead).alias("place"))
-    right = placed.select(F.col("c_custkey").alias("friend_id"), "c_nationkey", "place")
-    return left.join(right, ["c_nationkey", "place"]).select("user_id", "friend_id")
+    """Friends: the suppliers that a customer has ever bought from, some 40 each and up to 100."""
+    lines = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_suppkey").alias("friend_id"))
+    return (t.orders.select("o_orderkey", F.col("o_custkey").alias("user_id"))
+            .join(lines, "o_orderkey").select("user_id", "friend_id").distinct())
 
 
 VIEWS = {
@@ -202,10 +194,6 @@ SELECT event_id, ts, event_type AS logger, concat('trace-', k) AS trace_id,
 SELECT doc_id AS post_id, source AS user_id, lang, text || {_TAIL_CASE} AS content,
   lang = 'fr' AS has_image FROM documents"""),
     "edges": ("", """
-SELECT a.c_custkey AS user_id, b.c_custkey AS friend_id
-FROM (SELECT c_custkey, c_nationkey,
-        row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS place FROM customer) a
-JOIN (SELECT c_custkey, c_nationkey,
-        row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS place FROM customer) b
-  ON a.c_nationkey = b.c_nationkey AND b.place BETWEEN a.place + 1 AND a.place + 3"""),
+SELECT DISTINCT o_custkey AS user_id, l_suppkey AS friend_id
+FROM orders JOIN lineitem ON l_orderkey = o_orderkey"""),
 }
