@@ -1,9 +1,10 @@
 """Benchmark decontamination: runs of N words that a benchmark item shares with a document.
 
 Items are cut into windows of ``WINDOW`` words (a shorter item is one window). A window is
-looked up by the 64-bit hash of its words and a hit is verified word by word. Up to
-``MAX_WINDOWS`` distinct windows (counted first) go to every task as a broadcast set; more are
-joined by hash with the documents' windows, under a second hash in place of the words.
+looked up by the 64-bit hash of its words and a hit is verified word by word. The windows go to
+every task as a broadcast set. Pairs of a window and an item that has it are counted first: more
+than ``MAX_PAIRS`` are dealt by hash into blocks, the whole documents are scanned once a block,
+and the hits of a row are merged. The result is the same, spans included.
 
 A null or empty text has no words and no hits; rows are judged one by one, so repeated rows get
 equal results. An item without id marks words but is not listed. Empty tables give no hits.
@@ -21,10 +22,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from murmur.llm.common import row_key, written
-from murmur.llm.tokens import NOT_ALNUM, Words, mixed, pieces, rolled, words
+from murmur.llm.tokens import NOT_ALNUM, Words, pieces, rolled, words
 
 WINDOW = 10
-MAX_WINDOWS = 1_000_000
+MAX_PAIRS = 1_000_000
 
 FOUND = [T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
          T.StructField("items", T.ArrayType(T.StringType())),
@@ -37,7 +38,7 @@ def texts_of(column: pa.Array) -> Iterator[tuple[int, Words]]:
 
 
 def item_windows(benchmark: DataFrame, size: int) -> DataFrame:
-    """Distinct windows of all items: length, hash, check, words, item_ids."""
+    """Distinct pairs of a window and an item: length, hash, words, item_id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -53,14 +54,12 @@ def item_windows(benchmark: DataFrame, size: int) -> DataFrame:
                 [pa.array([r[0] for r in rows], pa.string()),
                  pa.array([r[1] for r in rows], pa.int32()),
                  pa.array([int(window_hash(r[3])) for r in rows], pa.int64()),
-                 pa.array([int(window_hash(mixed(r[3]))) for r in rows], pa.int64()),
                  pa.array([r[2] for r in rows], pa.binary())],
-                ["item_id", "length", "hash", "check", "words"])
+                ["item_id", "length", "hash", "words"])
 
     rows = benchmark.select(F.col("item_id").cast("string"), "text").mapInArrow(
-        run, "item_id string, length int, hash long, check long, words binary")
-    return rows.groupBy("length", "hash", "check", "words").agg(
-        F.collect_set("item_id").alias("item_ids"))
+        run, "item_id string, length int, hash long, words binary")
+    return rows.distinct()
 
 
 def window_hash(hashes: np.ndarray) -> np.int64:
@@ -72,9 +71,11 @@ class WindowSet:
 
     def __init__(self, rows: list[tuple]) -> None:
         self.by_length: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        self.known: dict[tuple[int, int], list[tuple[bytes, list[str]]]] = {}
-        for length, h, text, items in rows:
-            self.known.setdefault((length, h), []).append((bytes(text), items))
+        self.known: dict[tuple[int, int], dict[bytes, list[str]]] = {}
+        for length, h, text, item in rows:
+            items = self.known.setdefault((length, h), {}).setdefault(bytes(text), [])
+            if item is not None:
+                items.append(item)
         for length in sorted({k[0] for k in self.known}):
             own = np.sort(np.array([h for n, h in self.known if n == length], np.int64))
             marks = np.zeros(1 << max(16, (8 * len(own)).bit_length()), bool)
@@ -91,13 +92,12 @@ class WindowSet:
             maybe = maybe[own[near] == found[maybe]]
             for i, h in zip(at[maybe].tolist(), found[maybe].tolist()):
                 text = w.text(i, i + length)
-                for known, items in self.known[length, h]:
-                    if known == text:
-                        yield i, length, items
+                if text in self.known[length, h]:
+                    yield i, length, self.known[length, h][text]
 
 
-def judged(w: Words, windows: WindowSet) -> list[tuple[int, int, list[str], list[list[int]]]]:
-    """n_words, n_hit, items and hit spans (code points) of each document."""
+def judged(w: Words, windows: WindowSet) -> list[tuple[int, list[str], list[list[int]]]]:
+    """n_words, items and ranges of hit words of each document."""
     n = len(w.offsets) - 1
     covered = np.zeros(len(w.starts) + 1, np.int32)
     items: dict[int, set[str]] = {}
@@ -106,67 +106,130 @@ def judged(w: Words, windows: WindowSet) -> list[tuple[int, int, list[str], list
         covered[i + length] -= 1
         items.setdefault(int(np.searchsorted(w.offsets, i, side="right")) - 1, set()).update(ids)
     sizes = np.diff(w.offsets).tolist()
-    out = [(sizes[d], 0, [], []) for d in range(n)]
-    if items:
-        hit = np.cumsum(covered[:-1]) > 0
-        ends = np.concatenate([[0], np.cumsum(hit)])
-        for d, ids in items.items():
-            lo, hi = int(w.offsets[d]), int(w.offsets[d + 1])
-            out[d] = sizes[d], int(ends[hi] - ends[lo]), sorted(ids), spans(w, hit[lo:hi], lo, d)
+    out: list[tuple[int, list[str], list[list[int]]]] = [(size, [], []) for size in sizes]
+    hit = np.cumsum(covered[:-1]) > 0
+    for d, ids in items.items():
+        lo, hi = int(w.offsets[d]), int(w.offsets[d + 1])
+        out[d] = sizes[d], sorted(ids), ranges(w, hit[lo:hi], lo, d)
     return out
 
 
-def spans(w: Words, hit: np.ndarray, lo: int, d: int) -> list[list[int]]:
+def ranges(w: Words, hit: np.ndarray, lo: int, d: int) -> list[list[int]]:
+    """First word, end word, first code point, end code point of runs of hit words."""
     edge = np.flatnonzero(np.diff(np.concatenate([[0], hit.astype(np.int8), [0]])))
-    first = int(w.bounds[d])
-    out, seen, at = [], first, 0
-    for i, j in zip(edge[::2] + lo, edge[1::2] + lo - 1):
-        for byte in (int(w.starts[i]), int(w.ends[j])):
+    out, seen, at = [], int(w.bounds[d]), 0
+    for i, j in zip(edge[::2].tolist(), edge[1::2].tolist()):
+        places = []
+        for byte in (int(w.starts[lo + i]), int(w.ends[lo + j - 1])):
             at += len(w.data[seen:byte].tobytes().decode("utf-8", "ignore"))
             seen = byte
-            out.append(at)
-    return [out[k:k + 2] for k in range(0, len(out), 2)]
+            places.append(at)
+        out.append([i, j, *places])
+    return out
+
+
+def joined(parts: list[list[list[int]]]) -> list[list[int]]:
+    """The ranges of several blocks as ranges of all hit words."""
+    out: list[list[int]] = []
+    for first, end, start, stop in sorted(r for part in parts for r in part):
+        if out and first <= out[-1][1]:
+            if end > out[-1][1]:
+                out[-1][1], out[-1][3] = end, stop
+        else:
+            out.append([first, end, start, stop])
+    return out
+
+
+def window_set(benchmark: DataFrame, size: int = WINDOW, most: int = MAX_PAIRS) -> DataFrame:
+    """The windows of the items, and the block of each; a block has about ``most`` pairs at most."""
+    pairs = written(item_windows(benchmark, size), "windows")
+    n = max(1, -(-pairs.count() // most))
+    mine = F.xxhash64("length", "hash", "words", "item_id")
+    return pairs.withColumn("block", F.pmod(mine, F.lit(n)).cast("int"))
+
 
+def blocks_of(windows: DataFrame) -> list[int]:
+    return sorted(r[0] for r in windows.select("block").distinct().collect())
 
-def window_set(benchmark: DataFrame, size: int = WINDOW,
-               most: int = MAX_WINDOWS) -> Broadcast | DataFrame:
-    """A broadcast of the windows if they are at most ``most``, else the table of them."""
-    table = written(item_windows(benchmark, size), "windows")
-    if table.count() > most:
-        return table
-    rows = [tuple(r) for r in table.select("length", "hash", "words", "item_ids").collect()]
-    return benchmark.sparkSession.sparkContext.broadcast(rows)
 
+def shared(windows: DataFrame, block: int) -> Broadcast:
+    rows = windows.where(F.col("block") == block).select("length", "hash", "words", "item_id")
+    return windows.sparkSession.sparkContext.broadcast([tuple(r) for r in rows.collect()])
 
-def scan(docs: DataFrame, windows: Broadcast | DataFrame) -> DataFrame:
-    """doc_id, n_words, n_hit, items (sorted ids) and, for a broadcast, hit spans of every row."""
-    if isinstance(windows, DataFrame):
-        return scan_by_join(docs, windows)
+
+RANGES = T.StructField("ranges", T.ArrayType(T.ArrayType(T.LongType())))
+ARROW = {"n_words": pa.int64(), "n_hit": pa.int64(), "items": pa.list_(pa.string()),
+         "ranges": pa.list_(pa.list_(pa.int64())), "spans": pa.list_(pa.list_(pa.int64()))}
+
+
+def block_hits(rows: DataFrame, windows: Broadcast, all_rows: bool) -> DataFrame:
+    """The columns after the text, n_words, items and ranges; of every row, or those with a hit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WindowSet(windows.value)
         for batch in batches:
-            rows = [r for _, w in texts_of(batch.column(1)) for r in judged(w, known)]
+            found = [r for _, w in texts_of(batch.column(0)) for r in judged(w, known)]
+            out = pa.RecordBatch.from_arrays(
+                [*batch.columns[1:], *(pa.array([r[i] for r in found], ARROW[c])
+                                       for i, c in enumerate(("n_words", "items", "ranges")))],
+                [*rest, "n_words", "items", "ranges"])
+            yield out if all_rows else out.filter(pa.array([len(r[2]) > 0 for r in found], pa.bool_()))
+
+    rest = rows.columns[1:]
+    return rows.mapInArrow(run, T.StructType(
+        [*rows.schema.fields[1:], FOUND[0], FOUND[2], RANGES]))
+
+
+def later_hits(docs: DataFrame, windows: DataFrame, blocks: list[int]) -> DataFrame:
+    """key and parts (block, items, ranges) of the rows that have hits in some of the blocks."""
+    keyed = docs.select("text", row_key(F.col("doc_id"), F.col("text")).alias("key"))
+    found = None
+    for block in blocks:
+        sent = shared(windows, block)
+        part = written(block_hits(keyed, sent, False).select(
+            "key", F.struct(F.lit(block).alias("block"), "items", "ranges").alias("part")), "hits")
+        sent.unpersist()
+        found = part if found is None else found.unionByName(part)
+    # Equal rows have equal parts, so a key gathers one part per block, however many rows it has.
+    return found.groupBy("key").agg(F.collect_set("part").alias("parts"))
+
+
+def scan(docs: DataFrame, windows: DataFrame) -> DataFrame:
+    """doc_id, n_words, n_hit, items (sorted ids) and hit spans (code points) of every row."""
+    first, *later = blocks_of(windows) or [0]
+    rows = docs.select("text", "doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"))
+    found = block_hits(rows, shared(windows, first), True)
+    none = F.array().cast("array<struct<block:int,items:array<string>,ranges:array<array<bigint>>>>")
+    if later:
+        found = found.join(later_hits(docs, windows, later), "key", "left")
+    else:
+        found = found.withColumn("parts", none)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            items, hit = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            for i, parts in enumerate(batch.column(4).to_pylist()):
+                if parts:
+                    items[i] = sorted({x for own in [items[i], *(p["items"] for p in parts)]
+                                       for x in own})
+                    hit[i] = joined([hit[i], *(p["ranges"] for p in parts)])
+            columns = {"n_hit": [sum(r[1] - r[0] for r in own) for own in hit], "items": items,
+                       "spans": [[r[2:] for r in own] for own in hit]}
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array([r[i] for r in rows], kind) for i, kind in enumerate(
-                    (pa.int64(), pa.int64(), pa.list_(pa.string()),
-                     pa.list_(pa.list_(pa.int64())))))],
+                [batch.column(0), batch.column(1), *(pa.array(v, ARROW[c]) for c, v in columns.items())],
                 ["doc_id", *(f.name for f in FOUND)])
 
-    return docs.select("doc_id", "text").mapInArrow(
+    return found.select("doc_id", "n_words", "items", "ranges", "parts").mapInArrow(
         run, T.StructType([docs.schema["doc_id"], *FOUND]))
 
 
-def clean(docs: DataFrame, windows: Broadcast | DataFrame) -> DataFrame:
+def clean(docs: DataFrame, windows: DataFrame) -> DataFrame:
     """The rows without any hit, with all their columns."""
-    if isinstance(windows, DataFrame):
-        key = row_key(F.col("doc_id"), F.col("text"))
-        bad = hits_by_join(docs, windows).select("key").distinct()
-        return docs.join(bad, key == bad["key"], "left_anti")
-    at = docs.columns.index("text")
+    first, *later = blocks_of(windows) or [0]
+    sent, at = shared(windows, first), docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WindowSet(windows.value)
+        known = WindowSet(sent.value)
         for batch in batches:
             keep = np.ones(batch.num_rows, bool)
             for lo, w in texts_of(batch.column(at)):
@@ -174,58 +237,8 @@ def clean(docs: DataFrame, windows: Broadcast | DataFrame) -> DataFrame:
                     keep[lo + int(np.searchsorted(w.offsets, i, side="right")) - 1] = False
             yield batch.filter(pa.array(keep))
 
-    return docs.mapInArrow(run, docs.schema)
-
-
-def document_windows(docs: DataFrame, lengths: list[int]) -> DataFrame:
-    """key, length, start, hash, check of every window of every row."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo, w in texts_of(batch.column(1)):
-                doc = w.document_of()
-                other = Words(w.data, w.starts, w.ends, mixed(w.hashes), w.offsets, w.bounds)
-                for n in lengths:
-                    at, found = w.windows(n)
-                    start = at - w.offsets[doc[at]] if len(at) else at
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(pa.array(doc[at] + lo)),
-                         pa.array(np.full(len(at), n, np.int32)), pa.array(start),
-                         pa.array(found.view(np.int64)),
-                         pa.array(other.windows(n)[1].view(np.int64))],
-                        ["key", "length", "start", "hash", "check"])
-
-    return docs.select(row_key(F.col("doc_id"), F.col("text")).alias("key"), "text").mapInArrow(
-        run, "key binary, length int, start long, hash long, check long")
-
-
-def hits_by_join(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    lengths = [r[0] for r in windows.select("length").distinct().collect()]  # at most WINDOW
-    return document_windows(docs, lengths).join(windows, ["length", "hash", "check"]).select(
-        "key", "start", "length", "item_ids")
-
-
-def scan_by_join(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """``scan`` without a broadcast. A row's hits are gathered by row; there are no spans."""
-    none = WindowSet([])
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes = [r[0] for _, w in texts_of(batch.column(2)) for r in judged(w, none)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(
-                sizes, pa.int64())], ["doc_id", "key", "n_words"])
-
-    hits = hits_by_join(docs, windows)
-    words_hit = hits.select("key", F.explode(F.sequence(
-        "start", F.col("start") + F.col("length") - 1)).alias("at")).distinct()
-    n_hit = words_hit.groupBy("key").agg(F.count("*").alias("n_hit"))
-    items = hits.select("key", F.explode("item_ids").alias("item")).groupBy("key").agg(
-        F.sort_array(F.collect_set("item")).alias("items"))
-    sized = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"),
-                        "text").mapInArrow(count, T.StructType([
-                            docs.schema["doc_id"], T.StructField("key", T.BinaryType()),
-                            FOUND[0]]))
-    return sized.join(n_hit, "key", "left").join(items, "key", "left").select(
-        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
-        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
-        F.lit(None).cast(FOUND[3].dataType).alias("spans"))
+    out = docs.mapInArrow(run, docs.schema)
+    if not later:
+        return out
+    bad = later_hits(docs, windows, later).select(F.col("key").alias("__bad"))
+    return out.join(bad, row_key(F.col("doc_id"), F.col("text")) == F.col("__bad"), "left_anti")

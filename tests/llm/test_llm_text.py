@@ -78,18 +78,20 @@ def test_hits_equal_the_plain_version(bench, most):
     assert left == {2, 3, 4}
 
 
-def test_spans_show_the_hit_text(bench):
+@pytest.mark.parametrize("most", [1, 7, 10_000])
+def test_spans_show_the_hit_text(bench, most):
     docs, items = bench
     found = {r.doc_id: r.spans for r in decontaminate.scan(
-        docs, decontaminate.window_set(items)).collect()}
+        docs, decontaminate.window_set(items, most=most)).collect()}
     assert [TEXTS[0][1][i:j] for i, j in found[1]] == [
         "the quick brown fox jumps over the lazy dog and runs; short item"]
     assert [TEXTS[5][1][i:j] for i, j in found[6]] == [
         "alpha beta gamma delta epsilon zeta eta theta iota kappa"]
 
 
-def test_decontamination_of_edge_rows(edge_docs, no_docs, bench):
-    windows = decontaminate.window_set(bench[1])
+@pytest.mark.parametrize("most", [9, 10_000])
+def test_decontamination_of_edge_rows(edge_docs, no_docs, bench, most):
+    windows = decontaminate.window_set(bench[1], most=most)
     assert decontaminate.scan(edge_docs, windows).count() == edge_docs.count()
     assert by_text(decontaminate.clean(edge_docs, windows).collect()) == by_text(
         edge_docs.collect())
