@@ -527,12 +527,12 @@ def _(t):
 
 @query("agg_hotspots", "ev", f"""
 SELECT partition, users, total_posts, round(avg(total_posts) OVER (), 6) AS average,
-  CASE WHEN total_posts > avg(total_posts) OVER () * 1.1::DOUBLE THEN 'hot'
-    WHEN total_posts < avg(total_posts) OVER () * 0.9::DOUBLE THEN 'cold' ELSE 'normal' END AS flag
+  CASE WHEN total_posts > avg(total_posts) OVER () * 1.5::DOUBLE THEN 'hot'
+    WHEN total_posts < avg(total_posts) OVER () * 0.5::DOUBLE THEN 'cold' ELSE 'normal' END AS flag
 FROM ({WORKLOAD_SQL})""")
 def _(t):
     loads = reports.partition_workload(keyed(t))
-    return rounded(reports.hotspots(loads, "total_posts", 1.1, 0.9))
+    return rounded(reports.hotspots(loads, "total_posts", 1.5, 0.5))
 
 
 @query("agg_hotspots_throughput", "ev", """

@@ -86,6 +86,29 @@ def test_index_percentiles(spark):
     assert rows(out, "g", "p50", "p99") == [("a", 3.0, 4.0), ("b", 51.0, 100.0)]
 
 
+def test_percentiles_do_not_depend_on_the_chunks(spark):
+    from murmur.functions.ranking import value_chunks
+
+    values = {"a": [1000.0 ** (i / 500) for i in range(2000)], "b": [-1.5] * 40 + [2.5] * 3,
+              None: [float(i % 700) for i in range(1500)]}
+    df = spark.createDataFrame([(g, v) for g, vs in values.items() for v in [*vs, None]],
+                               "g string, v double")
+    points = {"p0": 0.0, "p50": 0.5, "p95": 0.95, "p99": 0.99, "p100": 1.0}
+    expected = sorted(
+        [(g, *(sorted(vs)[min(int(len(vs) * p), len(vs) - 1)] for p in points.values()))
+         for g, vs in values.items()], key=str)
+    for chunk in (1, 5, 1_000_000):
+        found = index_percentiles(df, ["g"], "v", points, chunk).select("g", *points)
+        assert sorted((tuple(r) for r in found.collect()), key=str) == expected
+    counts = df.where("v IS NOT NULL").groupBy("g", "v").count()
+    sizes = value_chunks(counts, ["g"], "v", 2).groupBy("g", "__chunk").count()
+    most = sizes.agg(F.max("count")).first()[0]
+    assert most <= 64  # as many chunks as the values need, however unevenly they lie
+    falls = value_chunks(counts, ["g"], "v", 2).groupBy("g", "__chunk").agg(
+        F.min("v").alias("low"), F.max("v").alias("high")).orderBy("g", "__chunk").collect()
+    assert all(x.high < y.low for x, y in zip(falls, falls[1:]) if x.g == y.g)
+
+
 def test_bucket_percentiles(spark):
     df = spark.createDataFrame([(float(v),) for v in (1, 2, 6, 7, 999)], "v double")
     out = logs.bucket_percentiles(df, "v", [5, 10, 50], {"p50": 0.5, "p99": 0.99})
