@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from murmur.plans.registry import query
 from murmur.plans.row_queries import joined, rounded
 from murmur.plans.stream_queries import LIMIT_SQL, SEC, TAGS_SQL, events, staged, tags_of
-from murmur.plans.views import posts_from, reactions_from
+from murmur.plans.views import interactions_from, posts_from, reactions_from
 from murmur.session import shared_dir
-from murmur.streaming import keyed, runner, sinks, state, windows
+from murmur.streaming import keyed, relay, runner, sinks, state, windows
 
 TYPES = ("user_profile", "content_metadata", "versioned", "comment")
 
@@ -216,3 +216,29 @@ def _(t):
     kept = F.coalesce(F.sum("n"), F.lit(0))
     return tables[-1].current().agg(received.alias("received"), kept.alias("kept"),
                                     (received - kept).alias("dropped"))
+
+
+@query("sink_outbox_relay_stream", "ev likes", f"""
+SELECT event_id, event_type, {SEC} AS created_s FROM ev WHERE event_id NOT IN (SELECT post_id FROM likes)""")
+def _(t):
+    """Every row of the outbox that was not published before, relayed by a stream."""
+    rows = events(t).select("event_id", "event_type", F.col("ts").alias("created_at"))
+    published = t.likes.select(F.col("post_id").alias("event_id")).distinct()
+    target = shared_dir(t.spark, "outbox")
+    handler = relay.OutboxRelay(t.spark, f"{target}/rows", rows.schema, published)
+    runner.each_batch(rows, handler, f"{target}/checkpoint", "append")
+    return handler.relayed().select("event_id", "event_type",
+                                    F.unix_seconds("created_at").alias("created_s"))
+
+
+@query("sink_upsert_metrics_stream", "interactions", """
+SELECT user_id, lower(interaction_type) AS metric_type, round(sum(duration_s), 4) AS metric_value,
+  max(event_id) AS last_offset FROM interactions GROUP BY ALL""")
+def _(t):
+    rows = interactions_from(events(t)).select(
+        "user_id", F.lower("interaction_type").alias("metric_type"),
+        F.col("duration_s").alias("value"), F.col("event_id").alias("offset"))
+    target = shared_dir(t.spark, "metrics")
+    handler = relay.MetricsUpsert(t.spark, f"{target}/rows")
+    runner.each_batch(rows, handler, f"{target}/checkpoint", "append")
+    return rounded(handler.current(), 4)
