@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from murmur.functions import scans
@@ -48,29 +48,50 @@ def rebuilt(snapshot: DataFrame, tail: DataFrame) -> DataFrame:
     return compact_versioned(snapshot.unionByName(tail))
 
 
-def compaction_stats(log: DataFrame) -> DataFrame:
+def compaction_stats(log: DataFrame, chunk: Column | None = None) -> DataFrame:
     """Messages, updates, tombstones, ignored old versions, active and deleted keys.
 
     Tombstones cut the history of a key into epochs; an update is ignored when an
     earlier update of its epoch has a higher version.
+
+    The log is read and dealt once, by key and chunk of offsets. Windows inside a chunk give the
+    highest version before each row since the chunk's last tombstone; one row per chunk then
+    carries over what the epoch brought along from earlier chunks, and only rows before a
+    chunk's first tombstone can need that.
     """
-    chunk = scans.by_offset("log_offset")
-    dead = F.col("payload").isNull()
-    epochs = scans.scan(log, ["log_key"], ["log_offset"], chunk,
-                        sums={"epoch": F.when(dead, F.lit(1)).otherwise(F.lit(0))})
-    updates = scans.scan(
-        epochs.filter(~dead), ["log_key", "epoch"], ["log_offset"], chunk,
-        maxima={"stored_version": F.col("version")}, include_current=False)
-    counted = updates.agg(
-        count_if(F.col("version") < F.col("stored_version")).alias("ignored_old_versions"))
-    last = newest_per_key(log.select("log_key", "log_offset", "payload"), ["log_key"],
-                          ["log_offset"]).agg(
-        count_if(~dead).alias("active_keys"), count_if(dead).alias("deleted_keys"))
-    totals = log.agg(F.count(F.lit(1)).alias("messages"), count_if(~dead).alias("updates"),
-                     count_if(dead).alias("tombstones"))
-    # Three frames of one row each.
-    rows = [f.unpivot([], f.columns, "measure", "value") for f in (totals, counted, last)]
-    return reduce(lambda a, b: a.unionByName(b), rows)
+    chunk = scans.by_offset("log_offset") if chunk is None else chunk
+    at = F.struct("log_key", chunk.alias("chunk")).alias("at")
+    # Every use below needs just these columns, so they all read the same exchange.
+    rows = log.select(at, "log_offset", "version", F.col("payload").isNull().alias("dead"))
+    in_chunk = Window.partitionBy("at").orderBy("log_offset")
+    version = F.when(~F.col("dead"), F.col("version"))
+    local = rows.withColumn("epoch", F.sum(F.col("dead").cast("int")).over(in_chunk)).withColumn(
+        "seen", F.max(version).over(Window.partitionBy("at", "epoch").orderBy("log_offset")
+                                    .rowsBetween(Window.unboundedPreceding, -1)))
+    ends = local.groupBy("at").agg(
+        F.count(F.lit(1)).alias("messages"), count_if(F.col("dead")).alias("tombstones"),
+        F.max_by("dead", "log_offset").alias("dead"), F.max(F.struct(
+            "epoch", version.alias("version"))).alias("last"))
+    by_key = Window.partitionBy("at.log_key").orderBy("at.chunk")
+    ends = ends.withColumn("epochs", F.sum((F.col("tombstones") > 0).cast("int")).over(by_key))
+    in_epoch = Window.partitionBy("at.log_key", "epochs").orderBy("at.chunk")
+    ends = ends.withColumn("kept", F.max("last.version").over(in_epoch)).withColumn(
+        "carried", F.lag("kept").over(by_key)).withColumn(
+        "newest", F.lead("at").over(by_key).isNull())
+    carried = ends.where("carried IS NOT NULL").select("at", "carried")
+    old = local.join(carried, "at", "left").where(~F.col("dead")).agg(count_if(
+        F.col("version") < F.greatest("seen", F.when(F.col("epoch") == 0, F.col("carried")))
+    ).alias("ignored_old_versions"))
+    gone = F.col("newest") & F.col("dead")
+    totals = ends.agg(
+        F.coalesce(F.sum("messages"), F.lit(0)).alias("messages"),
+        F.coalesce(F.sum(F.col("messages") - F.col("tombstones")), F.lit(0)).alias("updates"),
+        F.coalesce(F.sum("tombstones"), F.lit(0)).alias("tombstones"),
+        count_if(F.col("newest") & ~F.col("dead")).alias("active_keys"),
+        count_if(gone).alias("deleted_keys"))
+    # Two frames of one row each.
+    return reduce(lambda a, b: a.unionByName(b), [
+        f.unpivot([], f.columns, "measure", "value") for f in (totals, old)])
 
 
 def cdc_state(log: DataFrame, key: str) -> DataFrame:

@@ -31,6 +31,9 @@ def test_compaction(spark, history):
     stats = {r.measure: r.value for r in tables.compaction_stats(frame).collect()}
     assert stats["ignored_old_versions"] == ignored
     assert stats["active_keys"] == len(state)
+    for size in (1, 3):  # what an epoch brings along from earlier chunks
+        cut = tables.compaction_stats(frame, F.floor(F.col("log_offset") / size))
+        assert {r.measure: r.value for r in cut.collect()} == stats
 
 
 COPY = st.tuples(st.sampled_from("ab"), st.one_of(st.none(), st.integers(0, 5)),
