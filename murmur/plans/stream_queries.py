@@ -21,7 +21,7 @@ from murmur.plans.views import (
 from murmur.schemas import TABLE_EVENT
 from murmur.session import shared_dir
 from murmur.sources.messages import file_stream
-from murmur.streaming import runner, sinks, windows
+from murmur.streaming import hops, runner, sinks, windows
 from murmur.streaming.resolve import LastWriteWins
 
 SEC = "epoch_us(ts) // 1000000"
@@ -92,10 +92,10 @@ def _(t):
 @query("st_grace", "posts", f"""
 SELECT * FROM ({HOPS_SQL}) WHERE (window_start + 1800) * 1000 <= {LIMIT_SQL} - 300000""")
 def _(t):
-    """Only windows whose grace period is over: append mode."""
-    hops = windows.hopping_closed(tags_of(posts_from(events(t))), "30 minutes", "5 minutes",
-                                  "5 minutes")
-    return rounded(runner.finished(t.spark, hops, "grace"), 4)
+    """Only windows whose grace period is over; late rows change none of them."""
+    closed = hops.closed_hops(tags_of(posts_from(events(t))), shared_dir(t.spark, "grace"),
+                              1800, 300, 300, FOLD_EVERY)
+    return rounded(closed, 4)
 
 
 @query("st_retention", "posts", f"""
