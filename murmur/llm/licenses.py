@@ -6,9 +6,9 @@ is laid over the words so that the pair is in its place. A window that holds at
 of the template's word pairs is cut to the words from the first to the last of them (and ``NEAR``
 more on both sides), and described by its words and pairs, as far as templates hold them, and by
 how many other words it has. A multinomial logistic regression, trained on the templates with
-variations and on the runs of words of a bounded sample of the corpus as class ``unknown``, must
-give the window the template's family. The probability that a family needs is set on sampled runs
-kept for that. Of hits that overlap the one most like its template stays, of equal ones the
+variations and on the runs of words of the whole corpus as class ``unknown``, must give the window
+the template's family. The probability that a family needs is set on a fifth of the runs, which
+the training leaves out. Equal runs are counted, not copied. Of hits that overlap the one most like its template stays, of equal ones the
 longest; it is placed at the lines of its first and last pair.
 
 The ``cues`` are words chosen so that in every template the pairs without a cue are too few for
@@ -108,10 +108,9 @@ CONFIRM = 0.7
 SLACK, LEAST_SLACK, NEAR = 0.5, 3, 1
 #: Words of a run of the class ``unknown``.
 RUN = 16
-#: Documents (expected) whose runs of words are the class ``unknown``, and the range of the hash.
-SAMPLE_DOCS, HASH_RANGE = 1000, 1 << 30
-LEAST_PROBABILITY = 0.5
-#: Share of sampled runs that may pass the probability a family needs.
+#: The probability that a family needs is at least this, and a multiple of 1 / STEPS.
+LEAST_PROBABILITY, STEPS = 0.5, 10_000
+#: Share of the runs left out of the training that may pass it.
 FALSE_SHARE = 0.001
 
 
@@ -240,36 +239,65 @@ def has_cue(text: Column) -> Column:
         wanted, lambda cue: F.contains(low, cue)))
 
 
+def run_counts(docs: DataFrame) -> DataFrame:
+    """features, late and n: how many runs of words of all texts have these features.
+
+    A run whose hash is a multiple of five is ``late``. Runs are counted twice, by their words
+    as far as templates hold them and then by their features, so pairs are formed and sorted for
+    different runs only.
+    """
+    own = docs.select(words(F.col("text")).alias("words")).where(F.size("words") > 0)
+    # Words are looked up after the cut: within it they would be looked up again for every run.
+    runs = own.select(F.inline(F.transform(
+        F.sequence(F.lit(0), F.size("words") - 1, F.lit(RUN)),
+        lambda i: F.struct(F.slice("words", i + 1, RUN).alias("words")))))
+    kept = F.transform("words", lambda w: F.when(w.isin(VOCABULARY[1:]), w).otherwise(""))
+    counted = runs.groupBy(
+        F.array_join(kept, " ").alias("kept"),
+        (F.pmod(F.xxhash64("words"), F.lit(5)) == 0).alias("late")).agg(
+        F.count(F.lit(1)).alias("n"))
+    shown = described(counted.withColumn("words", F.split("kept", " ")))
+    return shown.groupBy(F.array_join(F.array_sort("features"), ",").alias("f"), "late").agg(
+        F.sum("n").alias("n")).select(F.split("f", ",").alias("features"), "late", "n")
+
+
+def least_limit(passed: DataFrame, total: int) -> float:
+    """The least probability that at most ``FALSE_SHARE`` of all runs reach.
+
+    passed: probability and n, of the runs that reach ``LEAST_PROBABILITY`` at least.
+    """
+    found = passed.groupBy(F.floor(F.col("probability") * STEPS).alias("step")).agg(
+        F.sum("n").alias("n")).orderBy(F.desc("step")).collect()
+    above = 0
+    for row in found:
+        above += row.n
+        if above > FALSE_SHARE * total:
+            return max(LEAST_PROBABILITY, (row.step + 1) / STEPS)
+    return LEAST_PROBABILITY
+
+
 def learn(docs: DataFrame) -> tuple[PipelineModel, float]:
     """The classifier, and the probability that a family needs."""
-    spark = docs.sparkSession
-    rate = min(HASH_RANGE, SAMPLE_DOCS * HASH_RANGE // max(1, docs.count()))
-    runs = F.transform(F.sequence(F.lit(0), F.size("words") - 1, F.lit(RUN)),
-                       lambda i: F.slice("words", i + 1, RUN))
-    sample = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(HASH_RANGE)) < rate).select(
-        words(F.col("text")).alias("words")).where(F.size("words") > 0)
-    sample = described(sample.select(F.explode(runs).alias("words")))
-    like = F.greatest(*(likeness(F.col("pairs"), t) for t in TEMPLATES.values()))
+    like = F.greatest(*(likeness(F.col("features"), t) for t in TEMPLATES.values()))
     # Runs near a template are licences themselves; they are no examples of unknown.
-    sample = sample.where(like < CONFIRM / 2).select(
-        "features", F.lit(0.0).alias("label"),
-        (F.pmod(F.xxhash64("words"), F.lit(5)) == 0).alias("late")).cache()
-    early = sample.where(~F.col("late"))
-    known = described(template_rows(spark))
-    # The families together weigh as much as the class unknown, however large the sample is.
-    weight = max(1.0, early.count() / known.count())
+    runs = run_counts(docs).where(like < CONFIRM / 2).cache()
+    sizes = {r.late: r.n for r in runs.groupBy("late").agg(F.sum("n").alias("n")).collect()}
+    known = described(template_rows(docs.sparkSession))
+    # The families together weigh as much as the class unknown, however many runs there are.
+    weight = max(1.0, sizes.get(False, 0) / known.count())
     rows = known.select("features", "label", F.lit(weight).alias("weight")).union(
-        early.select("features", "label", F.lit(1.0)))
+        runs.where(~F.col("late")).select("features", F.lit(0.0), F.col("n").cast("double")))
     model = Pipeline(stages=[
         CountVectorizerModel.from_vocabulary(VOCABULARY, "features", "counts"),
         Normalizer(inputCol="counts", outputCol="unit"),
         LogisticRegression(featuresCol="unit", labelCol="label", weightCol="weight",
                            family="multinomial", maxIter=30, regParam=1e-3)]).fit(rows)
     best = F.array_max(F.slice(vector_to_array("probability"), 2, len(FAMILIES) - 1))
-    limit = model.transform(sample.where("late")).agg(
-        F.percentile_approx(best, 1 - FALSE_SHARE, 10_000)).first()[0]
-    sample.unpersist()
-    return model, max(LEAST_PROBABILITY, limit or 0.0)
+    passed = model.transform(runs.where("late")).select(best.alias("probability"), "n").where(
+        F.col("probability") >= LEAST_PROBABILITY)
+    limit = least_limit(passed, sizes.get(True, 0))
+    runs.unpersist()
+    return model, limit
 
 
 def classified(found: DataFrame, model: PipelineModel, limit: float) -> DataFrame:
