@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,18 +35,19 @@ def closed_hops(tags: DataFrame, folder: str, size_s: int = 1800, hop_s: int = 3
                              sinks.summed(keys, ["n", "engagement"]), fold_every)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        before, seen = latest.merge(latest.partials(batch_id - 1)).first(), Observation()
+        before, seen = latest.merge(latest.partials(batch_id - 1)).first(), batch.agg(
+            F.max(F.unix_millis("ts"))).first()[0]
         passed = None if before is None or before.ms_before is None else before.ms_before - grace_s * 1000
         first = F.col("pane") - (size_s - hop_s)
         if passed is not None:
             # Windows start at multiples of a hop; the first one that ends after the watermark.
             first = F.greatest(first, F.lit((passed - size_s * 1000) // (hop_s * 1000) * hop_s + hop_s))
-        rows = batch.observe(seen, F.max(F.unix_millis("ts")).alias("ms")).withColumn(
+        rows = batch.withColumn(
             "pane", window_start(F.col("ts"), hop_s)).withColumn("first", first).filter(
             F.col("first") <= F.col("pane"))
         panes.write(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum(
             "engagement_score").alias("engagement")), batch_id)
-        known = [ms for ms in (before and before.ms, seen.get.get("ms")) if ms is not None]
+        known = [ms for ms in (before and before.ms, seen) if ms is not None]
         row = (max(known, default=None), before and before.ms)
         latest.write(batch.sparkSession.createDataFrame([row], latest.schema), batch_id)
 
