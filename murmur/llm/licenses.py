@@ -246,16 +246,16 @@ def run_counts(docs: DataFrame) -> DataFrame:
     as far as templates hold them and then by their features, so pairs are formed and sorted for
     different runs only.
     """
-    own = docs.select(words(F.col("text")).alias("words")).where(F.size("words") > 0)
-    # Words are looked up after the cut: within it they would be looked up again for every run.
-    runs = own.select(F.inline(F.transform(
-        F.sequence(F.lit(0), F.size("words") - 1, F.lit(RUN)),
-        lambda i: F.struct(F.slice("words", i + 1, RUN).alias("words")))))
-    kept = F.transform("words", lambda w: F.when(w.isin(VOCABULARY[1:]), w).otherwise(""))
-    counted = runs.groupBy(
-        F.array_join(kept, " ").alias("kept"),
-        (F.pmod(F.xxhash64("words"), F.lit(5)) == 0).alias("late")).agg(
-        F.count(F.lit(1)).alias("n"))
+    # No filter on the words: Spark would push it below them and take them from every text twice.
+    own = docs.select(words(F.col("text")).alias("words"))
+    cut = F.transform(F.sequence(F.lit(0), F.size("words") - 1, F.lit(RUN)),
+                      lambda i: F.slice("words", i + 1, RUN))
+    # A run's words end in the lambda that hashes them, so only its key leaves the array.
+    runs = own.select(F.inline(F.when(F.size("words") > 0, F.transform(cut, lambda run: F.struct(
+        F.array_join(F.transform(run, lambda w: F.when(w.isin(VOCABULARY[1:]), w).otherwise("")),
+                     " ").alias("kept"),
+        (F.pmod(F.xxhash64(run), F.lit(5)) == 0).alias("late"))))))
+    counted = runs.groupBy("kept", "late").agg(F.count(F.lit(1)).alias("n"))
     shown = described(counted.withColumn("words", F.split("kept", " ")))
     return shown.groupBy(F.array_join(F.array_sort("features"), ",").alias("f"), "late").agg(
         F.sum("n").alias("n")).select(F.split("f", ",").alias("features"), "late", "n")

@@ -2,6 +2,8 @@
 
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from murmur.llm import licenses
 
 
@@ -30,3 +32,9 @@ def test_the_threshold_counts_every_run(spark):
     assert licenses.least_limit(passed, 5_000) == 0.7124
     assert licenses.least_limit(passed, 2_000_000) == licenses.LEAST_PROBABILITY
     assert licenses.least_limit(passed.limit(0), 0) == licenses.LEAST_PROBABILITY
+
+
+def test_the_words_of_a_text_are_taken_once(spark):
+    docs = spark.range(3).select(F.col("id").cast("string").alias("text"))
+    plan = licenses.run_counts(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 1
