@@ -261,6 +261,21 @@ def run_counts(docs: DataFrame) -> DataFrame:
         F.sum("n").alias("n")).select(F.split("f", ",").alias("features"), "late", "n")
 
 
+def unknown_runs(docs: DataFrame) -> DataFrame:
+    """The counted runs that are examples of the class unknown, kept.
+
+    The counts are kept before the comparison with the templates: the features are what is grouped
+    by, so Spark would push it below both counts and describe and compare every run of every text.
+    """
+    like = F.greatest(*(likeness(F.col("features"), t) for t in TEMPLATES.values()))
+    # Runs near a template are licences themselves; they are no examples of unknown.
+    counted = run_counts(docs).cache()
+    runs = counted.where(like < CONFIRM / 2).cache()
+    runs.count()
+    counted.unpersist()
+    return runs
+
+
 def least_limit(passed: DataFrame, total: int) -> float:
     """The least probability that at most ``FALSE_SHARE`` of all runs reach.
 
@@ -278,9 +293,7 @@ def least_limit(passed: DataFrame, total: int) -> float:
 
 def learn(docs: DataFrame) -> tuple[PipelineModel, float]:
     """The classifier, and the probability that a family needs."""
-    like = F.greatest(*(likeness(F.col("features"), t) for t in TEMPLATES.values()))
-    # Runs near a template are licences themselves; they are no examples of unknown.
-    runs = run_counts(docs).where(like < CONFIRM / 2).cache()
+    runs = unknown_runs(docs)
     sizes = {r.late: r.n for r in runs.groupBy("late").agg(F.sum("n").alias("n")).collect()}
     known = described(template_rows(docs.sparkSession))
     # The families together weigh as much as the class unknown, however many runs there are.

@@ -38,3 +38,13 @@ def test_the_words_of_a_text_are_taken_once(spark):
     docs = spark.range(3).select(F.col("id").cast("string").alias("text"))
     plan = licenses.run_counts(docs)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract_all(") == 1
+
+
+def test_only_counted_runs_are_compared_with_templates(spark):
+    docs = spark.range(3).select(F.concat(F.lit("word"), F.col("id").cast("string")).alias("text"))
+    runs = licenses.unknown_runs(docs)
+    plan = runs._jdf.queryExecution().withCachedData().toString()
+    runs.unpersist()
+    counts = plan.index("HashAggregate")
+    assert "array_intersect" in plan[:counts]
+    assert "array_intersect" not in plan[counts:plan.index("Generate", counts)]
