@@ -8,10 +8,12 @@ fire when the watermark has passed them.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 from typing import Any
 
-from pyspark.sql import DataFrame, Row
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -86,72 +88,148 @@ RECORD = T.StructType([
 INTERESTS = T.StructField("interests", T.ArrayType(T.StringType()))
 
 
-class Resolver(Keyed):
+#: Types that a copy may hold: their JSON text gives back exactly the same value.
+PLAIN = (T.StringType, T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.DoubleType, T.FloatType,
+         T.BooleanType, T.DateType, T.BinaryType)
+
+
+class Resolver(StatefulProcessor):
     """Emits the resolved record after every copy, by the rule of its type.
 
-    State of a record: its resolved copy, and the interests of a profile as a map, to which a
-    copy adds only what is new.
+    A call sees the copies of one share of the records as text: a call and a batch of columns for
+    every record, and every cell by itself, would cost more than the rules. State of a share: a
+    list of what the batches changed, each a text of the records' resolved copies and interests by
+    name, of which the last one holds. A batch reads the list of a share that it touches and adds
+    to it once; the list is folded when half of it is out of date.
     """
 
-    order = ("seq",)
+    ROWS = 10_000  # of a frame that is passed on
 
     def __init__(self, out: T.StructType, record: T.StructType) -> None:
-        super().__init__(out)
-        self.record = record
+        self.out = out.names
+        self.doubles = [f.name for f in record.fields
+                        if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.kept = handle.getValueState("record", self.record)
-        self.words = handle.getMapState("interests", "word string", "known boolean")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        names = self.record.names
-        rule = RULES.get(key[0], last_write)
-        state = self.kept.get() if self.kept.exists() else None
-        record = dict(zip(names, state)) if state is not None else None
+        self.changes = handle.getListState("changes", "records string")
+
+    def parsed(self, texts: list[str]) -> list[Record]:
+        records = json.loads(f"[{','.join(texts)}]")
+        for c in self.doubles:  # Spark writes what is no number as a string
+            for record in records:
+                if isinstance(record[c], str):
+                    record[c] = float(record[c])
+        return records
+
+    def stored(self) -> tuple[dict[str, list], int]:
+        """The records of the share by name, and how many the list holds for them."""
+        records, n = {}, 0
+        for (text,) in self.changes.get():
+            changed = json.loads(text)
+            records |= changed
+            n += len(changed)
+        return records, n
+
+    def store(self, known: dict[str, list], n: int, changed: dict[str, list]) -> None:
+        merged = known | changed
+        if n + len(changed) > 2 * len(merged):
+            self.changes.put([(json.dumps(merged),)])
+        else:
+            self.changes.appendValue((json.dumps(changed),))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        records: dict[str, list[tuple]] = {}
+        for frame in rows:
+            for name, *copy in zip(*(frame[c] for c in ("name", "seq", "copy", "interests"))):
+                records.setdefault(name, []).append(copy)
+        known, n = self.stored()
+        changed: dict[str, list] = {}
+        found: list[tuple] = []
+        for name, copies in records.items():
+            copies.sort(key=lambda c: (c[0] is not None, int(c[0] or 0)))
+            for row in self.folded(name, copies, known.get(name)):
+                found.append(row)
+                if len(found) == self.ROWS:
+                    yield pd.DataFrame(found, columns=self.out)
+                    found = []
+            changed[name] = list(row[2:])
+        if found:
+            yield pd.DataFrame(found, columns=self.out)
+        self.store(known, n, changed)
+
+    def folded(self, name: str, copies: list[tuple], state: list | None) -> Iterator[tuple]:
+        rule = RULES.get(json.loads(name)["record_type"], last_write)
         profile = rule is merged_profile
-        words = {w[0] for w in self.words.keys()} if profile and record else set()
-        for row in self.in_order(rows):
-            copy = {c: row[c] for c in names}
-            record = rule(record, copy) if record else copy
-            if profile:
-                for word in set(row["interests"] or []) - words:
-                    self.words.updateValue((word,), (True,))
-                    words.add(word)
-            interests = sorted(words) if profile else None
-            yield self.row(*key, row["seq"], *(record[c] for c in names), interests)
-        self.kept.update(tuple(record[c] for c in names))
+        text, listed = state or (None, None)
+        record = self.parsed([text])[0] if text is not None else None
+        words = set(json.loads(listed or "[]")) if profile else set()
+        listed = json.dumps(sorted(words)) if profile else None
+        for (seq, given, interests), copy in zip(copies, self.parsed([c[1] for c in copies])):
+            last, record = record, rule(record, copy) if record else copy
+            if record is copy:
+                text = given
+            elif record is not last:
+                text = json.dumps(record)
+            new = set(json.loads(interests)) - words if profile and interests else None
+            if new:
+                words |= new
+                listed = json.dumps(sorted(words))
+            yield name, seq, text, listed
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        self.kept.update(tuple(initialState[c] for c in self.record.names))
-        for word in initialState["interests"] or []:
-            self.words.updateValue((word,), (True,))
+        known, n = self.stored()
+        changed: dict[str, list] = {}
+        for name, copy, interests in zip(*(initialState[c] for c in ("name", "copy", "interests"))):
+            words = set(json.loads(interests or "[]"))
+            before = changed.get(name) or known.get(name)
+            if before:
+                words |= set(json.loads(before[1]))
+            changed[name] = [copy, json.dumps(list(words))]
+        self.store(known, n, changed)
+
+    def close(self) -> None:
+        pass
 
 
-def resolved(copies: DataFrame, known: DataFrame | None = None,
-             record: T.StructType = RECORD) -> DataFrame:
+def resolved(copies: DataFrame, known: DataFrame | None = None, record: T.StructType = RECORD,
+             shares: int = 1024) -> DataFrame:
     """record_type, record_id, arrival and the resolved record after every copy of it.
 
     copies: record_type, record_id, the columns of ``record`` (seq is the order of arrival) and
     interests. ``known`` is a table of records in the same layout, for example the batch fold of
-    the past; the stream goes on from it.
+    the past; the stream goes on from it. Records are dealt into ``shares``, whose number must
+    stay while a checkpoint is in use; a task holds the copies of one share and micro-batch.
     """
-    keys = ["record_type", "record_id"]
     times = [f.name for f in record.fields if isinstance(f.dataType, T.TimestampType)]
-    # Times are kept as microseconds: what a state gives back has no time zone.
+    # Times are kept as microseconds, which their text gives back exactly.
     kept = T.StructType([T.StructField(f.name, T.LongType()) if f.name in times else f
                          for f in record.fields])
-
-    def plain(rows: DataFrame) -> DataFrame:
-        rows = rows.select(*keys, *record.names, INTERESTS.name)
-        return rows.withColumns({c: F.unix_micros(c) for c in times})
-
-    out = T.StructType([
-        T.StructField("record_type", T.StringType()), copies.schema["record_id"],
-        T.StructField("arrival", T.LongType()), *kept.fields, INTERESTS])
-    start = None if known is None else plain(known).groupBy(*keys)
-    found = plain(copies).groupBy(*keys).transformWithState(
+    odd = [f.name for f in kept.fields if not isinstance(f.dataType, PLAIN)]
+    if odd:
+        raise ValueError(f"a copy cannot hold columns of these types: {', '.join(odd)}")
+    keys = T.StructType([T.StructField("record_type", T.StringType()), copies.schema["record_id"]])
+
+    def text(*columns: Column) -> Column:
+        return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+
+    def packed(rows: DataFrame) -> DataFrame:
+        of_time = [F.unix_micros(c).alias(c) if c in times else F.col(c) for c in record.names]
+        rows = rows.select(text(*map(F.col, keys.names)).alias("name"),
+                           F.col("seq").cast("string").alias("seq"), text(*of_time).alias("copy"),
+                           F.to_json(INTERESTS.name).alias("interests"))
+        return rows.withColumn("share", F.pmod(F.xxhash64("name"), F.lit(shares)))
+
+    out = T.StructType([T.StructField(c, T.StringType())
+                        for c in ("name", "arrival", "copy", "interests")])
+    start = None if known is None else packed(known).groupBy("share")
+    found = packed(copies).groupBy("share").transformWithStateInPandas(
         Resolver(out, kept), out, "Append", "None", start)
-    return found.withColumns({c: F.timestamp_micros(c) for c in times})
+    found = found.select(
+        F.from_json("name", keys).alias("key"), F.col("arrival").cast("long").alias("arrival"),
+        F.from_json("copy", kept).alias("record"),
+        F.from_json("interests", INTERESTS.dataType).alias(INTERESTS.name))
+    return found.select("key.*", "arrival", "record.*", INTERESTS.name).withColumns(
+        {c: F.timestamp_micros(c) for c in times})
 
 
 # First results of repeated requests
